@@ -32,22 +32,28 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+# First word of a VARIANT's schema text for each kind.
+_VARIANT_KINDS = {
+    "VOID": "null",
+    "BIGINT": "integer",
+    "DOUBLE": "decimal",
+    "FLOAT": "decimal",
+    "DECIMAL": "decimal",
+    "STRING": "string",
+    "BOOLEAN": "boolean",
+    "BINARY": "bytes",
+    "DATE": "date",
+    "TIMESTAMP_NTZ": "local_datetime",
+    "OBJECT": "map",
+    "ARRAY": "list",
+}
+
+
 def variant_kind(col: Column) -> Column:
-    """The kind held by a VARIANT value, per row."""
-    s = F.schema_of_variant(col)
-    return (
-        F.when(col.isNull() | F.is_variant_null(col), "null")
-        .when(s == "BIGINT", "integer")
-        .when(s.isin("DOUBLE", "FLOAT") | s.startswith("DECIMAL"), "decimal")
-        .when(s == "STRING", "string")
-        .when(s == "BOOLEAN", "boolean")
-        .when(s == "BINARY", "bytes")
-        .when(s == "DATE", "date")
-        .when(s == "TIMESTAMP_NTZ", "local_datetime")
-        .when(s.startswith("OBJECT"), "map")
-        .when(s.startswith("ARRAY"), "list")
-        .otherwise("unknown")
-    )
+    """The kind held by a VARIANT value, per row. The column is used once, so it is computed once."""
+    names = F.create_map(*[F.lit(x) for pair in _VARIANT_KINDS.items() for x in pair])
+    word = F.regexp_extract(F.coalesce(F.schema_of_variant(col), F.lit("VOID")), "^[A-Z_]+", 0)
+    return F.coalesce(F.try_element_at(names, word), F.lit("unknown"))
 
 
 @dataclass(frozen=True)
@@ -71,7 +77,7 @@ class Cell:
     def holds(self, kind: str) -> Column:
         """Whether this row's value is of the kind."""
         if self.is_variant:
-            return F.coalesce(variant_kind(self.col) == kind, F.lit(False))
+            return variant_kind(self.col) == kind
         if kind == "null":
             return F.lit(True) if self.kind == "null" else self.col.isNull()
         return self.col.isNotNull()
@@ -145,7 +151,18 @@ class Record(Cell):
         return F.lit(kind == "map")
 
 
-MISSING = Cell(F.lit(None), T.NullType())
+class _Missing(Cell):
+    """A member that is not there. Its column is made on use, when a session exists."""
+
+    def __init__(self):
+        object.__setattr__(self, "dtype", T.NullType())
+
+    @property
+    def col(self) -> Column:
+        return F.lit(None)
+
+
+MISSING = _Missing()
 
 
 def record_of(df: DataFrame) -> Record:

@@ -213,11 +213,22 @@ def strict(decoded: DataFrame) -> DataFrame:
 
 def split(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the quarantine with the errors of each bad row."""
-    good = decoded.where(F.size("errors") == 0).drop("errors")
-    quarantine = decoded.where(F.size("errors") > 0).drop("value")
+    settled = settle(decoded)
+    good = settled.where(F.size("errors") == 0).drop("errors")
+    quarantine = settled.where(F.size("errors") > 0).drop("value")
     return good, quarantine
 
 
+def settle(decoded: DataFrame) -> DataFrame:
+    """Hold value and errors as they were computed.
+
+    A filter on ``errors`` would otherwise be rewritten in terms of the raw columns and decode every
+    row a second time. It is not moved below a one-element ``inline``.
+    """
+    keep = [c for c in decoded.columns if c not in ("value", "errors")]
+    return decoded.select(*keep, F.inline(F.array(F.struct("value", "errors"))))
+
+
 def error_report(decoded: DataFrame) -> DataFrame:
     """How often each kind of error was met, per field and message."""
     return (

@@ -106,11 +106,13 @@ def transact(spark: SparkSession, root: str) -> Iterator[UnitOfWork]:
     unit.commit()
 
 
-def published(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """The newest committed version of a table; None when there is none yet."""
+def snapshot(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Every published table at its newest version, all resolved from one look at the manifest."""
     try:
         manifest = spark.read.schema("version string, name string").json(f"{root}/manifest/*")
-    except AnalysisException:
-        return None
-    newest = manifest.where(F.col("name") == name).agg(F.max("version").alias("v")).first()["v"]
-    return None if newest is None else spark.read.parquet(f"{root}/tables/{name}/v={newest}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    newest = manifest.groupBy("name").agg(F.max("version").alias("version"))
+    return {r["name"]: spark.read.parquet(f"{root}/tables/{r['name']}/v={r['version']}") for r in newest.collect()}
