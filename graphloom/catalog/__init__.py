@@ -1,2 +1,2 @@
-from graphloom.catalog import filters, functions, joins, scans, shaping  # noqa: F401
+from graphloom.catalog import graph, filters  # noqa: F401
 from graphloom.catalog.registry import ORACLES, QUERIES

@@ -112,8 +112,9 @@ def prop_get_as(spark, d):
     k = records.field("k", scalars.integer)(props)
     text = records.field("k", scalars.string)(props)
     z = records.field("z", scalars.integer)(props)
-    return events.select(
-        "event_id", k.value.alias("k"), error_text(text.errors).alias("bad_kind"), error_text(z.errors).alias("absent")
+    read = events.select("event_id", k.value.alias("k"), text.errors.alias("text"), z.errors.alias("z"))
+    return read.select(
+        "event_id", "k", error_text(F.col("text")).alias("bad_kind"), error_text(F.col("z")).alias("absent")
     )
 
 
@@ -163,6 +164,7 @@ def has_label_query(spark, d):
     """SELECT 'placed' AS rel_type, true AS placed, count(*) AS n FROM orders
        UNION ALL SELECT 'contains', false, count(*) FROM lineitem
        UNION ALL SELECT 'supplied_by', false, count(*) FROM lineitem
+       UNION ALL SELECT 'filled_by', false, count(*) FROM lineitem
        UNION ALL SELECT 'in_nation', false, (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier)
        UNION ALL SELECT 'in_region', false, count(*) FROM nation""",
 )
@@ -218,8 +220,7 @@ def path_contains(spark, d):
     pattern = extend(hop(customers, lives, nations, ("c", "r1", "n")), "n", within, regions, ("r2", "r"))
     c, n, r = (node_value(a, t.schema) for a, t in (("c", customers), ("n", nations), ("r", regions)))
     r1 = rel_value("r1", lives.schema, F.col("c.element_id"), F.col("n.element_id"))
-    r2 = rel_value("r2", within.select("element_id", "rel_type", "src", "dst").schema,
-                   F.col("n.element_id"), F.col("r.element_id"))
+    r2 = rel_value("r2", within.schema, F.col("n.element_id"), F.col("r.element_id"))
     path = paths.path_value(c, [(r1, n), (r2, r)])
 
     def region(props: str):
@@ -240,11 +241,11 @@ def path_contains(spark, d):
 
 @query(
     "collect_pf",
-    "SELECT event_id, round(value * 2, 4) AS doubled FROM events WHERE event_type = 'purchase'",
+    "SELECT event_id, value * 2 AS doubled FROM events WHERE event_type = 'purchase'",
 )
 def collect_pf(spark, d):
     return table(spark, d, "events").where("event_type = 'purchase'").select(
-        "event_id", F.round(F.col("value") * 2, 4).alias("doubled")
+        "event_id", (F.col("value") * 2).alias("doubled")
     )
 
 

@@ -74,10 +74,13 @@ class Cell:
             return kind in _VARIANT_READ or kind == "null"
         return kind in (self.kind, "null")
 
+    def variant_kind(self) -> Column:
+        return variant_kind(self.col)
+
     def holds(self, kind: str) -> Column:
         """Whether this row's value is of the kind."""
         if self.is_variant:
-            return variant_kind(self.col) == kind
+            return self.variant_kind() == kind
         if kind == "null":
             return F.lit(True) if self.kind == "null" else self.col.isNull()
         return self.col.isNotNull()
@@ -101,7 +104,7 @@ class Cell:
         if isinstance(self.dtype, T.MapType):
             return Cell(F.try_element_at(self.col, F.lit(name)), self.dtype.valueType)
         if self.is_variant:
-            return self.read("map").field(name)
+            return Cell(F.try_variant_get(self.col, _variant_path(name), "variant"), self.dtype)
         return MISSING
 
     def has_field(self, name: str) -> Column | bool:
@@ -110,7 +113,8 @@ class Cell:
         if isinstance(self.dtype, T.MapType):
             return F.coalesce(F.map_contains_key(self.col, F.lit(name)), F.lit(False))
         if self.is_variant:
-            return self.read("map").has_field(name)
+            # A member that is there but null is a VARIANT null, which is not an SQL null.
+            return self.field(name).col.isNotNull()
         return False
 
     def members(self) -> list["Cell"]:
@@ -118,7 +122,10 @@ class Cell:
         return [self.field(n) for n in self.dtype.fieldNames()]
 
     def sole(self) -> tuple[Column, "Cell"] | None:
-        """The only value of a one-key map, with the row condition for there being just one."""
+        """The only value of a one-key map, with the row condition for there being just one.
+
+        A VARIANT is unwrapped when it is bound, see ``Bound``.
+        """
         if isinstance(self.dtype, T.StructType):
             if self.kind == "map" and len(self.dtype) == 1:
                 return F.lit(True), self.members()[0]
@@ -126,12 +133,46 @@ class Cell:
         if isinstance(self.dtype, T.MapType):
             only = F.coalesce(F.size(self.col) == 1, F.lit(False))
             return only, Cell(F.get(F.map_values(self.col), F.lit(0)), self.dtype.valueType)
-        if self.is_variant:
-            only, inner = self.read("map").sole()
-            return self.holds("map") & only, inner
         return None
 
 
+def _variant_path(name: str) -> str:
+    return "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+
+
+class Bound(Cell):
+    """A VARIANT value and its kind, both already computed and held by a lambda variable."""
+
+    def __init__(self, held: Column):
+        super().__init__(held["v"], T.VariantType())
+        object.__setattr__(self, "_kind", held["kind"])
+
+    def variant_kind(self) -> Column:
+        return self._kind
+
+
+def with_variant(col: Column, accepts: tuple[str, ...], fn) -> Column:
+    """``fn`` of a bound cell, evaluated once per row.
+
+    A one-key object whose only value is of an accepted kind is replaced by that value first.
+    """
+
+    def unwrapped(h: Column) -> Column:
+        members = F.map_values(F.try_variant_get(h["v"], "$", "map<string,variant>"))
+        only = F.when((h["kind"] == "map") & (F.size(members) == 1), F.get(members, F.lit(0)))
+        inner = _hold(only)
+        return F.when(only.isNotNull() & inner["kind"].isin(*accepts), inner).otherwise(h)
+
+    def once(value: Column, use) -> Column:
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    return once(_hold(col), lambda h: once(unwrapped(h), lambda t: fn(Bound(t))))
+
+
+def _hold(col: Column) -> Column:
+    return F.struct(col.alias("v"), variant_kind(col).alias("kind"))
+
+
 class Record(Cell):
     """A whole row as a named, ordered record. Members stay plain columns, so unused ones are pruned."""
 
@@ -177,13 +218,16 @@ def column_of(df: DataFrame, name: str) -> Cell:
 def show(cell: Cell) -> Column:
     """The value as an error text shows it."""
     if cell.is_variant:
-        text = F.when(cell.holds("null"), "NullValue")
-        for kind in ("integer", "string", "boolean", "date", "local_datetime"):
-            text = text.when(cell.holds(kind), show(cell.read(kind)))
-        text = text.when(cell.holds("decimal"), _tagged("decimal", cell.read("decimal").col.cast("string")))
-        text = text.when(cell.holds("map"), _tagged("map", F.to_json(cell.col)))
-        text = text.when(cell.holds("list"), _tagged("list", F.to_json(cell.col)))
-        return text.otherwise(F.to_json(cell.col))
+        kind = cell.variant_kind()
+        text = (
+            F.when(kind.isin("map", "list", "unknown"), F.to_json(cell.col))
+            .when(kind == "decimal", F.try_variant_get(cell.col, "$", "double").cast("string"))
+            .otherwise(F.try_variant_get(cell.col, "$", "string"))
+        )
+        labels = F.create_map(*[F.lit(x) for pair in KIND_LABELS.items() for x in pair])
+        return F.when(kind == "null", "NullValue").otherwise(
+            F.concat(F.coalesce(F.try_element_at(labels, kind), kind), F.lit("("), text, F.lit(")"))
+        )
     if cell.kind == "null":
         return F.lit("NullValue")
     if cell.kind == "list":

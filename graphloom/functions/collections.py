@@ -21,6 +21,13 @@ from graphloom.functions.decoder import (
     merge,
     no_errors,
 )
+from graphloom.functions.params import as_variant
+
+
+# Kinds a VARIANT can hold.
+ALL_KINDS = (
+    "null", "integer", "decimal", "string", "boolean", "bytes", "date", "local_datetime", "map", "list", "unknown"
+)
 
 
 @dataclass(frozen=True)
@@ -97,7 +104,7 @@ def from_values(run: Callable[[Values], Decoded], type_name: str = "List") -> De
         nothing = F.when(F.lit(False), first_value)
         return choose_first(branches, nothing, fail)
 
-    return Decoder(decode)
+    return Decoder(decode, ("list", "map"))
 
 
 def take(n: int, decoders: list[Decoder] | None = None) -> Decoder:
@@ -106,12 +113,24 @@ def take(n: int, decoders: list[Decoder] | None = None) -> Decoder:
     def run(v: Values) -> Decoded:
         cells = [v.at(i) for i in range(n)]
         if decoders is None:
-            return Decoded(F.array(*[c.col for c in cells]), no_errors())
+            return Decoded(_mixed_array(cells), no_errors())
         return merge({f"_{i + 1}": d(c) for i, (d, c) in enumerate(zip(decoders, cells))})
 
     return from_values(run)
 
 
+def _mixed_array(cells: list[Cell]) -> Column:
+    """One array of the cells; VARIANT elements when their types differ."""
+    types = {c.dtype for c in cells if c.kind != "null"}
+    return F.array(*[c.col if len(types) <= 1 else as_variant(c.col) for c in cells])
+
+
+# All values in order, elements of any kinds.
+values = from_values(
+    lambda v: Decoded(_mixed_array(v.cells) if v.cells is not None else v.array.col, no_errors())
+)
+
+
 def element_at(index: int, element: Decoder) -> Decoder:
     """The value at an index; out of bounds is an error."""
 
@@ -163,7 +182,7 @@ def option(inner: Decoder) -> Decoder:
         whole = _nullable(inner, cell)
         return choose_first([(guard, unwrapped.value, unwrapped.errors)], whole.value, whole.errors)
 
-    return Decoder(run)
+    return Decoder(run, ALL_KINDS)
 
 
 def _nullable(inner: Decoder, cell: Cell) -> Decoded:
@@ -257,7 +276,7 @@ def object_map(value: Decoder, key: KeyDecoder = STRING_KEY) -> Decoder:
         nothing = F.when(F.lit(False), outcomes[0][1].value)
         return choose_first([(t, d.value, d.errors) for t, d in outcomes], nothing, fail)
 
-    return Decoder(run)
+    return Decoder(run, ("map",))
 
 
 def _entries(cell: Cell, key: KeyDecoder, value: Decoder) -> list[tuple[Column, Decoded]]:

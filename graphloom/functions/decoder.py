@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.functions.cells import Cell, Record, show
+from graphloom.functions.cells import Cell, Record, show, with_variant
 from graphloom.model import ERRORS_DDL
 
 # Error texts (fixed values).
@@ -49,20 +49,31 @@ class Decoded:
 
     value: Column
     errors: Column
+    packed: Column | None = None
 
     @property
     def ok(self) -> Column:
         return F.size(self.errors) == 0
 
     def column(self) -> Column:
+        """Value and errors as one struct, the value null where there are errors."""
+        if self.packed is not None:
+            return self.packed
         return F.struct(F.when(self.ok, self.value).alias("value"), self.errors.alias("errors"))
 
 
 class Decoder:
-    def __init__(self, run: Callable[[Cell], Decoded]):
+    """``accepts`` names the kinds taken; a decoder built from others leaves it out."""
+
+    def __init__(self, run: Callable[[Cell], Decoded], accepts: tuple[str, ...] | None = None):
         self._run = run
+        self._accepts = accepts
 
     def __call__(self, cell: Cell) -> Decoded:
+        if self._accepts is not None and cell.is_variant:
+            # Decoding asks a VARIANT for its kind and content many times over. Holding both in a
+            # lambda variable keeps the expression small and computes them once.
+            return unpack(with_variant(cell.col, self._accepts, lambda bound: self._run(bound).column()))
         return self._run(cell)
 
     def map(self, fn: Callable[[Column], Column]) -> "Decoder":
@@ -129,6 +140,10 @@ class Decoder:
         return Decoder(run)
 
 
+def unpack(packed: Column) -> Decoded:
+    return Decoded(packed["value"], packed["errors"], packed)
+
+
 def constant(value: Column) -> Decoder:
     return Decoder(lambda cell: Decoded(value, no_errors()))
 
@@ -183,7 +198,7 @@ def from_match(type_name: str, ddl: str, cases: Sequence[Case]) -> Decoder:
                 branches.append((test if guard is None else guard & test, value.cast(ddl), errors))
         return choose_first(branches, F.lit(None).cast(ddl), could_not_decode(cell, type_name))
 
-    return Decoder(run)
+    return Decoder(run, tuple(kind for kind, _ in cases))
 
 
 def could_not_decode(cell: Cell, type_name: str) -> Column:

@@ -26,6 +26,7 @@ from graphloom.functions.decoder import (
     error,
     merge,
     no_errors,
+    unpack,
 )
 
 
@@ -45,7 +46,7 @@ def structural(kinds: tuple[str, ...], type_name: str) -> Decoder:
             return Decoded(F.lit(None), fail)
         return choose_first(found, F.when(F.lit(False), found[0][1]), fail)
 
-    return Decoder(run)
+    return Decoder(run, kinds)
 
 
 node = structural(("node",), "Node")
@@ -64,9 +65,7 @@ def objects_of(cell: Cell) -> list[tuple[Column, Cell]]:
 def _objects(cell: Cell) -> list[tuple[Column, Cell]]:
     if cell.kind in ("node", "relationship"):
         return [(cell.holds(cell.kind), cell.field("properties"))]
-    if cell.is_variant:
-        return [(cell.holds("map"), cell.read("map"))]
-    if cell.kind == "map":
+    if cell.is_variant or cell.kind == "map":
         return [(cell.holds("map"), cell)]
     return []
 
@@ -82,7 +81,7 @@ def from_object(run: Callable[[Cell], Decoded]) -> Decoder:
             return outcomes[0][1]
         return _first(outcomes, fail)
 
-    return Decoder(decode)
+    return Decoder(decode, ("map",))
 
 
 def _first(outcomes: list[tuple[Column, Decoded]], fail: Column) -> Decoded:
@@ -94,7 +93,15 @@ def get_as(obj: Cell, key: str, decoder: Decoder) -> Decoded:
     """A typed read. A missing key decodes as null; if that fails, both errors are reported."""
     present = obj.has_field(key)
     found = decoder(obj.field(key))
-    found = Decoded(found.value, _for_field(found.errors, key))
+    if found.packed is None:
+        found = Decoded(found.value, _for_field(found.errors, key))
+    else:
+        # Held by a lambda variable, since naming the field looks at the errors several times.
+        named_errors = F.transform(
+            F.array(found.packed),
+            lambda r: F.struct(r["value"].alias("value"), _for_field(r["errors"], key).alias("errors")),
+        )
+        found = unpack(F.get(named_errors, F.lit(0)))
     if present is True:
         return found
     absent = decoder(MISSING)

@@ -67,8 +67,8 @@ def wall_clock(zoned: Column) -> Column:
 
 def nanos_of_day(wall: Column) -> Column:
     micros = (
-        F.hour(wall) * F.lit(3_600_000_000)
-        + F.minute(wall) * F.lit(60_000_000)
+        F.hour(wall).cast("bigint") * F.lit(3_600_000_000)
+        + F.minute(wall).cast("bigint") * F.lit(60_000_000)
         + (F.extract(F.lit("SECOND"), wall) * F.lit(1_000_000)).cast("bigint")
     )
     return micros * F.lit(1000)

@@ -7,6 +7,7 @@ relationship table has ``rel_type``, ``src`` and ``dst``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -26,23 +27,25 @@ def normalised(name: Column) -> Column:
 
 @dataclass
 class PropertyGraph:
-    node_tables: dict[str, DataFrame] = field(default_factory=dict)
-    rel_tables: dict[str, DataFrame] = field(default_factory=dict)
+    """Tables by label and by type, each opened when it is asked for."""
+
+    node_tables: dict[str, Callable[[], DataFrame]] = field(default_factory=dict)
+    rel_tables: dict[str, Callable[[], DataFrame]] = field(default_factory=dict)
 
     def nodes(self, label: str) -> DataFrame:
         """Nodes with a label; the label is matched without case."""
-        return self.node_tables[label.lower()]
+        return self.node_tables[label.lower()]()
 
     def rels(self, rel_type: str) -> DataFrame:
-        return self.rel_tables[rel_type.lower()]
+        return self.rel_tables[rel_type.lower()]()
 
     def all_nodes(self) -> DataFrame:
         """Keys of every node, whatever its label."""
-        return reduce(DataFrame.unionByName, (t.select(*NODE_KEYS) for t in self.node_tables.values()))
+        return reduce(DataFrame.unionByName, (t().select(*NODE_KEYS) for t in self.node_tables.values()))
 
     def all_rels(self) -> DataFrame:
         """Endpoints and type of every relationship."""
-        return reduce(DataFrame.unionByName, (t.select("rel_type", "src", "dst") for t in self.rel_tables.values()))
+        return reduce(DataFrame.unionByName, (t().select("rel_type", "src", "dst") for t in self.rel_tables.values()))
 
 
 # Code of each label within a vertex id: vid = key * 8 + code, one to one and kept in 64 bits.
@@ -83,37 +86,60 @@ def as_rels(df: DataFrame, rel_type: str, src: Column, dst: Column, eid: Column)
 def order_graph(spark: SparkSession, folder: str) -> PropertyGraph:
     """The order tables as a graph.
 
-    customer -placed-> order -contains-> part -supplied_by-> supplier,
+    customer -placed-> order -contains-> part -supplied_by-> supplier, order -filled_by-> supplier,
     customer and supplier -in_nation-> nation -in_region-> region.
     """
-    nodes = {
-        label: as_nodes(table(spark, folder, name), label, vertex_id(label, key), element_id(label, key))
-        for label, (name, key) in _NODE_SOURCES.items()
-    }
-    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
-    customer, supplier = table(spark, folder, "customer"), table(spark, folder, "supplier")
-    nation = table(spark, folder, "nation")
-    # Lines have no key of their own: an exact copy of a line shares its id.
-    line_id = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in lines.columns]))
-
-    def link(df, rel_type, src_label, src_key, dst_label, dst_key, eid):
+    def nodes(label: str) -> DataFrame:
+        name, key = _NODE_SOURCES[label]
+        return as_nodes(table(spark, folder, name), label, vertex_id(label, key), element_id(label, key))
+
+    def link(df, rel_type, src_label, src_key, dst_label, dst_key, eid) -> DataFrame:
         return as_rels(df, rel_type, vertex_id(src_label, src_key), vertex_id(dst_label, dst_key), eid)
 
-    rels = {
-        "placed": link(orders, "placed", "customer", "o_custkey", "order", "o_orderkey",
-                       F.concat(F.lit("placed:"), F.col("o_orderkey"))),
-        "contains": link(lines, "contains", "order", "l_orderkey", "part", "l_partkey",
-                         F.concat(F.lit("contains:"), line_id)),
-        "supplied_by": link(lines, "supplied_by", "part", "l_partkey", "supplier", "l_suppkey",
-                            F.concat(F.lit("supplied_by:"), line_id)),
-        "in_nation": link(customer.select("c_custkey", "c_nationkey"), "in_nation", "customer", "c_custkey",
-                          "nation", "c_nationkey", F.concat(F.lit("in_nation:c"), F.col("c_custkey")))
-        .select(*REL_KEYS)
-        .unionByName(
-            link(supplier.select("s_suppkey", "s_nationkey"), "in_nation", "supplier", "s_suppkey",
-                 "nation", "s_nationkey", F.concat(F.lit("in_nation:s"), F.col("s_suppkey"))).select(*REL_KEYS)
-        ),
-        "in_region": link(nation, "in_region", "nation", "n_nationkey", "region", "n_regionkey",
-                          F.concat(F.lit("in_region:"), F.col("n_nationkey"))),
-    }
-    return PropertyGraph(nodes, rels)
+    def keyed(rel_type: str, key: str) -> Column:
+        return F.concat(F.lit(f"{rel_type}:"), F.col(key))
+
+    def line_id(rel_type: str, lines: DataFrame) -> Column:
+        # Lines have no key of their own: an exact copy of a line shares its id.
+        return F.concat(F.lit(f"{rel_type}:"), F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in lines.columns])))
+
+    def placed() -> DataFrame:
+        orders = table(spark, folder, "orders")
+        return link(orders, "placed", "customer", "o_custkey", "order", "o_orderkey", keyed("placed", "o_orderkey"))
+
+    def contains() -> DataFrame:
+        lines = table(spark, folder, "lineitem")
+        return link(lines, "contains", "order", "l_orderkey", "part", "l_partkey", line_id("contains", lines))
+
+    def supplied_by() -> DataFrame:
+        lines = table(spark, folder, "lineitem")
+        return link(lines, "supplied_by", "part", "l_partkey", "supplier", "l_suppkey", line_id("supplied_by", lines))
+
+    def filled_by() -> DataFrame:
+        lines = table(spark, folder, "lineitem")
+        return link(lines, "filled_by", "order", "l_orderkey", "supplier", "l_suppkey", line_id("filled_by", lines))
+
+    def in_nation() -> DataFrame:
+        customer, supplier = table(spark, folder, "customer"), table(spark, folder, "supplier")
+        of_customers = link(customer, "in_nation", "customer", "c_custkey", "nation", "c_nationkey",
+                            keyed("in_nation:c", "c_custkey"))
+        of_suppliers = link(supplier, "in_nation", "supplier", "s_suppkey", "nation", "s_nationkey",
+                            keyed("in_nation:s", "s_suppkey"))
+        return of_customers.select(*REL_KEYS).unionByName(of_suppliers.select(*REL_KEYS))
+
+    def in_region() -> DataFrame:
+        nation = table(spark, folder, "nation")
+        return link(nation, "in_region", "nation", "n_nationkey", "region", "n_regionkey",
+                    keyed("in_region", "n_nationkey")).select(*REL_KEYS)
+
+    return PropertyGraph(
+        {label: (lambda name=label: nodes(name)) for label in _NODE_SOURCES},
+        {
+            "placed": placed,
+            "contains": contains,
+            "supplied_by": supplied_by,
+            "filled_by": filled_by,
+            "in_nation": in_nation,
+            "in_region": in_region,
+        },
+    )
