@@ -143,12 +143,16 @@ def as_variant(col: Column) -> Column:
     return F.variant_get(wrapped, "$.v", "variant")
 
 
+def _element(value: Any) -> Column:
+    return F.parse_json(F.lit("null")) if value is None else as_variant(encode(value))
+
+
 def mixed_list(values: Iterable[Any]) -> Column:
     """Values of different kinds in one list."""
-    return F.array(*[as_variant(encode(v)) for v in values])
+    return F.array(*[_element(v) for v in values])
 
 
 def mixed_map(entries: Mapping[str, Any]) -> Column:
     """Values of different kinds in one map."""
-    flat = [x for k, v in entries.items() for x in (F.lit(k), as_variant(encode(v)))]
+    flat = [x for k, v in entries.items() for x in (F.lit(k), _element(v))]
     return F.create_map(*flat)

@@ -40,7 +40,8 @@ def article_rank(
     hot_ids = state.where("hot").select(F.col("id").alias("src"))
     any_hot = not hot_ids.isEmpty()
     cold = edges.join(F.broadcast(hot_ids), "src", "left_anti") if any_hot else edges
-    cold = cold.repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
+    partitions = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cold = cold.repartition(partitions, "src").sortWithinPartitions("src").persist(StorageLevel.MEMORY_AND_DISK)
     hot = edges.join(F.broadcast(hot_ids), "src", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
 
     for _ in range(max_iterations):
@@ -49,10 +50,15 @@ def article_rank(
         if any_hot:
             hubs = F.broadcast(share.where("hot").drop("hot"))
             given = given.unionAll(hot.join(hubs, "src").select("dst", "share"))
-        received = given.groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("received"))
-        rank = F.lit(base) + F.lit(damping) * F.coalesce("received", F.lit(0.0))
+        # A vertex's own row travels with what it receives, so one shuffle makes the new state.
+        own = state.select("id", F.lit(0.0).alias("share"), "spread", "hot", "rank")
+        mail = given.withColumnRenamed("dst", "id").unionByName(own, allowMissingColumns=True)
+        received = mail.groupBy("id").agg(
+            F.sum("share").alias("received"), *[F.max(c).alias(c) for c in ("spread", "hot", "rank")]
+        )
+        rank = F.lit(base) + F.lit(damping) * F.col("received")
         state = checkpointed(
-            state.join(received, "id", "left").select(
+            received.where(F.col("rank").isNotNull()).select(
                 "id", "spread", "hot", rank.alias("rank"), F.abs(rank - F.col("rank")).alias("moved")
             )
         )

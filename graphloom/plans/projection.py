@@ -21,7 +21,7 @@ def project(
     graph: PropertyGraph, labels: list[str], rel_types: list[str], orientation: str = "natural",
     weight: str | None = None, distinct: bool = True,
 ) -> Projection:
-    """Vertices by label, edges by type.
+    """Vertices by label, edges by type; only edges with both ends among the vertices.
 
     ``natural`` keeps directions, ``reverse`` turns them, ``undirected`` has both directions of each
     distinct pair and no self loops. Parallel edges are merged, keeping the lowest weight, before the
@@ -32,6 +32,11 @@ def project(
     )
     columns = ["src", "dst"] + ([F.col(weight).alias("weight")] if weight else [])
     edges = reduce(DataFrame.unionByName, (graph.rels(name).select(*columns) for name in rel_types))
+    if graph.id_has_label is not None:
+        edges = edges.where(graph.id_has_label(F.col("src"), labels) & graph.id_has_label(F.col("dst"), labels))
+    else:
+        for end in ("src", "dst"):
+            edges = edges.join(vertices.select(F.col("id").alias(end)), end, "left_semi")
     return Projection(vertices, orient(edges, orientation, distinct))
 
 

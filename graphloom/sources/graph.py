@@ -31,6 +31,8 @@ class PropertyGraph:
 
     node_tables: dict[str, Callable[[], DataFrame]] = field(default_factory=dict)
     rel_tables: dict[str, Callable[[], DataFrame]] = field(default_factory=dict)
+    # Whether a vertex id belongs to one of some labels, where the id itself tells.
+    id_has_label: Callable[[Column, list[str]], Column] | None = None
 
     def nodes(self, label: str) -> DataFrame:
         """Nodes with a label; the label is matched without case."""
@@ -142,4 +144,5 @@ def order_graph(spark: SparkSession, folder: str) -> PropertyGraph:
             "in_nation": in_nation,
             "in_region": in_region,
         },
+        lambda vid, labels: F.pmod(vid, F.lit(8)).isin(*[LABEL_CODES[name.lower()] for name in labels]),
     )
