@@ -203,26 +203,29 @@ def either(left: Decoder, right: Decoder) -> Decoder:
 
 
 def last_entry_wins(entries: Column) -> Column:
-    """Entries sorted by key, keeping the last one given for each key; needs no session setting."""
-    numbered = F.transform(
-        entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("seq"), e["value"].alias("value"))
-    )
-    ordered = F.array_sort(
-        numbered,
-        lambda a, b: F.when(a["key"] < b["key"], -1)
-        .when(a["key"] > b["key"], 1)
-        .when(a["seq"] < b["seq"], -1)
-        .when(a["seq"] > b["seq"], 1)
-        .otherwise(0),
-    )
-    # Binding the sorted array to a lambda variable keeps it from being sorted again per element.
-    kept = F.transform(
-        F.array(ordered),
-        lambda xs: F.filter(
-            xs, lambda x, i: F.get(xs, i + 1).isNull() | (F.get(xs, i + 1)["key"] != x["key"])
-        ),
-    )[0]
-    return F.transform(kept, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+    """Entries sorted by key, keeping the last one given for each key; needs no session setting.
+
+    Only keys and positions are sorted. Everything an inner function looks at is held by a lambda
+    variable, so it is computed once per list and not once per element.
+    """
+
+    def once(value: Column, use) -> Column:
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def is_last(order: Column):
+        def test(e: Column, i: Column) -> Column:
+            return F.coalesce(F.get(order, i + 1)["key"] != e["key"], F.lit(True))
+
+        return test
+
+    def keep(held: Column) -> Column:
+        numbered = F.transform(held, lambda e, i: F.struct(e["key"].alias("key"), i.alias("seq")))
+        last = once(F.sort_array(numbered), lambda order: F.filter(order, is_last(order)))
+        return F.transform(
+            last, lambda e: F.struct(e["key"].alias("key"), F.get(held, e["seq"])["value"].alias("value"))
+        )
+
+    return once(entries, keep)
 
 
 def pairs_map(key: Decoder, value: Decoder) -> Decoder:

@@ -56,10 +56,10 @@ class Decoded:
         return F.size(self.errors) == 0
 
     def column(self) -> Column:
-        """Value and errors as one struct, the value null where there are errors."""
+        """Value and errors as one struct."""
         if self.packed is not None:
             return self.packed
-        return F.struct(F.when(self.ok, self.value).alias("value"), self.errors.alias("errors"))
+        return F.struct(self.value.alias("value"), self.errors.alias("errors"))
 
 
 class Decoder:
@@ -172,7 +172,7 @@ def merge(parts: dict[str, Decoded], into: Callable[..., Column] | None = None)
 
 
 # A case of a match: the kind it takes and what to do with the typed cell. The function returns
-# the value, or the value and a message that is null where the value is good.
+# the value, or the value and a message for the rows on which the value is null.
 Case = tuple[str, Callable[[Cell], Column | tuple[Column, Column]]]
 
 
@@ -181,6 +181,7 @@ def from_match(type_name: str, ddl: str, cases: Sequence[Case]) -> Decoder:
 
     def run(cell: Cell) -> Decoded:
         branches: list[tuple[Column, Column, Column]] = []
+        partial = []
         sole = cell.sole()
         tries = ([sole] if sole else []) + [(None, cell)]
         for guard, target in tries:
@@ -190,13 +191,18 @@ def from_match(type_name: str, ddl: str, cases: Sequence[Case]) -> Decoder:
                 test = target.holds(kind)
                 outcome = fn(target.read(kind))
                 value, message = outcome if isinstance(outcome, tuple) else (outcome, None)
-                errors = (
-                    no_errors()
-                    if message is None
-                    else F.when(message.isNull(), no_errors()).otherwise(error("incoercible", message))
-                )
-                branches.append((test if guard is None else guard & test, value.cast(ddl), errors))
-        return choose_first(branches, F.lit(None).cast(ddl), could_not_decode(cell, type_name))
+                value = value.cast(ddl)
+                bad = no_errors() if message is None else error("incoercible", message)
+                errors = bad if message is None else F.when(value.isNotNull(), no_errors()).otherwise(bad)
+                branches.append((test if guard is None else guard & test, value, errors))
+                partial.append((value, bad, message is not None))
+        fail = could_not_decode(cell, type_name)
+        if len(branches) == 1 and partial[0][2]:
+            # A typed column that is parsed. Asking for the value first, on every row, lets Spark
+            # compute it once for the value and the errors together.
+            value, bad, _ = partial[0]
+            return Decoded(value, F.when(value.isNotNull(), no_errors()).when(branches[0][0], bad).otherwise(fail))
+        return choose_first(branches, F.lit(None).cast(ddl), fail)
 
     return Decoder(run, tuple(kind for kind, _ in cases))
 

@@ -44,39 +44,44 @@ def saturate_long(value: Column) -> Column:
 def signed_from_bytes(col: Column) -> tuple[Column, Column]:
     """Big-endian two's complement bytes as decimal(38,0), and a message where it does not fit.
 
-    The hexadecimal digits are sign-extended to 16 bytes and read as a signed high half and an
-    unsigned low half. Longer input is fine as long as its extra leading bytes only repeat the sign.
+    Up to 8 bytes are read as one signed number, the usual case and a short expression. More are
+    held by a lambda variable, sign-extended to 16 bytes and read as a signed high half and an
+    unsigned low half; leading bytes beyond 16 may only repeat the sign.
     """
     digits = F.hex(col)
-    negative = F.conv(F.substring(digits, 1, 1), 16, 10).cast("int") >= 8
-    pad = F.when(negative, F.lit("F")).otherwise(F.lit("0"))
-    full = F.lpad(digits, 32, "0")
-    full = F.when(negative, F.lpad(digits, 32, "F")).otherwise(full)
-    tail = F.when(F.length(digits) <= 32, full).otherwise(F.right(digits, F.lit(32)))
-    extra = F.when(F.length(digits) <= 32, F.lit("")).otherwise(F.expr("''"))
-    extra = F.when(F.length(digits) > 32, F.substring(digits, F.lit(1), F.length(digits) - 32)).otherwise(extra)
-    sign_only = F.length(F.translate(extra, "F", "")) == 0
-    sign_only = F.when(negative, sign_only).otherwise(F.length(F.translate(extra, "0", "")) == 0)
-    same_sign = F.when(F.substring(tail, 1, 1).isin(*"89ABCDEF"), F.lit("F")).otherwise(F.lit("0")) == pad
-    high = F.conv(F.substring(tail, 1, 16), 16, -10).cast("decimal(20,0)")
-    low = F.conv(F.substring(tail, 17, 16), 16, 10).cast("decimal(20,0)")
-    whole = F.try_add(
-        F.try_multiply(high.cast("decimal(38,0)"), F.lit(TWO_POW_64).cast("decimal(20,0)")).cast("decimal(38,0)"),
-        low.cast("decimal(38,0)"),
+    short = F.conv(F.lpad(digits, 16, _sign(digits)), 16, -10).cast("decimal(38,0)")
+    value = (
+        F.when(F.length(col) == 0, F.lit(None).cast("decimal(38,0)"))
+        .when(F.length(col) <= 8, short)
+        .otherwise(F.get(F.transform(F.array(digits), _wide_number), F.lit(0)))
     )
-    value = F.when(sign_only & same_sign & (F.length(digits) > 0), whole.try_cast("decimal(38,0)"))
-    return value, F.when(value.isNull(), F.lit("The integer needs more than 38 digits"))
+    return value, F.lit("The integer needs more than 38 digits")
+
+
+def _sign(digits: Column) -> Column:
+    return F.when(digits >= "8", "F").otherwise("0")
+
+
+def _wide_number(digits: Column) -> Column:
+    sign = _sign(digits)
+    full = F.lpad(digits, F.greatest(F.lit(32), F.length(digits)), sign)
+    high = F.conv(F.substring(F.right(full, F.lit(32)), 1, 16), 16, -10).cast("decimal(38,0)")
+    low = F.conv(F.right(full, F.lit(16)), 16, 10).cast("decimal(38,0)")
+    whole = F.try_add(F.try_multiply(high, F.lit(TWO_POW_64).cast("decimal(20,0)")).cast("decimal(38,0)"), low)
+    repeated = F.replace(F.substring(full, F.lit(1), F.length(full) - 32), sign, F.lit("")) == ""
+    same_sign = _sign(F.right(full, F.lit(32))) == sign
+    return F.when(repeated & same_sign, whole.try_cast("decimal(38,0)"))
 
 
 def _parsed_integer(cell: Cell) -> tuple[Column, Column]:
     value = F.when(cell.col.rlike("^[+-]?[0-9]+$"), cell.col.try_cast("decimal(38,0)"))
-    return value, F.when(value.isNull(), F.concat(F.lit("Couldn't create a BigInt from "), cell.col))
+    return value, F.concat(F.lit("Couldn't create a BigInt from "), cell.col)
 
 
 def _parsed_decimal(cell: Cell) -> tuple[Column, Column]:
     number = "^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
     value = F.when(cell.col.rlike(number), cell.col.try_cast("decimal(38,18)"))
-    return value, F.when(value.isNull(), F.concat(F.lit("Couldn't create a BigDecimal from "), cell.col))
+    return value, F.concat(F.lit("Couldn't create a BigDecimal from "), cell.col)
 
 
 def _parsed_uuid(cell: Cell) -> tuple[Column, Column]:
@@ -84,7 +89,7 @@ def _parsed_uuid(cell: Cell) -> tuple[Column, Column]:
     pattern = "^" + "-".join(f"([0-9a-fA-F]{{1,{w}}})" for w in widths) + "$"
     groups = [F.lpad(F.regexp_extract(cell.col, pattern, i), w, "0") for i, w in enumerate(widths, 1)]
     value = F.when(cell.col.rlike(pattern), F.lower(F.concat_ws("-", *groups)))
-    return value, F.when(value.isNull(), F.concat(F.lit("Couldn't create an UUID from "), cell.col))
+    return value, F.concat(F.lit("Couldn't create an UUID from "), cell.col)
 
 
 def uuid_of_bytes(col: Column) -> Column:
@@ -129,15 +134,14 @@ big_integer = from_match(
     ],
 )
 
+
 def _bounded_decimal(col: Column) -> tuple[Column, Column]:
-    value = col.try_cast("decimal(38,18)")
-    return value, F.when(value.isNull(), F.concat(F.lit("Couldn't create a BigDecimal from "), col.cast("string")))
+    return col.try_cast("decimal(38,18)"), F.concat(F.lit("Couldn't create a BigDecimal from "), col.cast("string"))
 
 
 def _decimal_of_bytes(cell: Cell) -> tuple[Column, Column]:
     value, message = signed_from_bytes(cell.col)
-    scaled, too_wide = _bounded_decimal(value)
-    return scaled, F.coalesce(message, too_wide)
+    return value.try_cast("decimal(38,18)"), message
 
 
 big_decimal = from_match(

@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 
 
 # -- as values, for patterns of fixed length --------------------------------------------------
-def path_value(start: Column, steps: list[tuple[Column, Column]]) -> Column:
-    """A start node and (relationship, next node) steps in traversal order. No step, or a null first
-    relationship, gives the empty path."""
+def path_value(start: Column, steps: list[tuple[Column, Column]], optional: bool = False) -> Column:
+    """A start node and (relationship, next node) steps in traversal order. No steps give the empty path.
+
+    With ``optional``, steps may be missing: those with a null relationship are left out.
+    """
     segments, current = [], start
     for rel, end in steps:
         segments.append(F.struct(current.alias("start"), rel.alias("relationship"), end.alias("end")))
         current = end
-    if not segments:
-        return F.struct(start.alias("start"), F.array().alias("segments"))
-    kept = F.filter(F.array(*segments), lambda s: s["relationship"]["element_id"].isNotNull())
-    return F.struct(start.alias("start"), kept.alias("segments"))
+    held = F.array(*segments)
+    if optional and segments:
+        held = F.filter(held, lambda s: s["relationship"]["element_id"].isNotNull())
+    return F.struct(start.alias("start"), held.alias("segments"))
 
 
 def path_start(path: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from graphloom.plans.projection import degrees
 from graphloom.plans.skew import hot_keys, salted_join
+from graphloom.session import checkpointed
 
 
 def _common(pairs: DataFrame, edges: DataFrame, total: Column, per_neighbour: Column | None = None) -> DataFrame:
@@ -26,19 +27,23 @@ def _common(pairs: DataFrame, edges: DataFrame, total: Column, per_neighbour: Co
         .fillna(0, ["degree_a", "degree_b"])
     )
     a_small = F.col("degree_a") <= F.col("degree_b")
-    sided = known.select(
-        "a", "b", F.when(a_small, F.col("a")).otherwise(F.col("b")).alias("small"),
-        F.when(a_small, F.col("b")).otherwise(F.col("a")).alias("large"),
+    known = checkpointed(
+        known.select(
+            "*", F.when(a_small, F.col("a")).otherwise(F.col("b")).alias("small"),
+            F.when(a_small, F.col("b")).otherwise(F.col("a")).alias("large"),
+        )
     )
+    sided = known.select("small", "large").distinct()
     fan = edges.select(F.col("src").alias("from_small"), F.col("dst").alias("z"))
     candidates = salted_join(sided, fan, "small", "from_small", hot_keys(sided.select("small"), "small"))
     back = edges.select(F.col("src").alias("large"), F.col("dst").alias("z"))
+    # Edges are distinct, so the keys of the hashed side are unique and spread evenly.
+    hits = candidates.select("small", "large", "z").join(back.hint("shuffle_hash"), ["large", "z"])
     if per_neighbour is not None:
         weight = degree.select(F.col("id").alias("z"), per_neighbour.alias("w"))
-        back = back.join(weight, "z")
-    hits = candidates.select("a", "b", "large", "z").join(back, ["large", "z"])
-    scored = hits.groupBy("a", "b").agg(total.alias("score"))
-    return known.join(scored, ["a", "b"], "left")
+        hits = hits.join(weight, "z")
+    scored = hits.groupBy("small", "large").agg(total.alias("score"))
+    return known.join(scored, ["small", "large"], "left")
 
 
 def adamic_adar(pairs: DataFrame, edges: DataFrame) -> DataFrame:
