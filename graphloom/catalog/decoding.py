@@ -427,12 +427,12 @@ def temporal_parse_errors(spark, d):
 @query(
     "decode_object",
     """SELECT c_custkey, 'c:' || c_custkey AS of_node, 'in_nation' AS of_rel, c_custkey AS of_map,
-              'NeoObject' AS wrong_kind FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+              'Object' AS wrong_kind FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 )
 def decode_object(spark, d):
     held = _customer_hop(spark, d).withColumn("m", F.struct("c_custkey", F.lit(1).alias("one")))
-    got = _apply(held, ["c_custkey"], n=("n", records.neo_object), r=("r", records.neo_object),
-                 m=("m", records.neo_object), wrong=("p", records.neo_object, True))
+    got = _apply(held, ["c_custkey"], n=("n", records.any_object), r=("r", records.any_object),
+                 m=("m", records.any_object), wrong=("p", records.any_object, True))
     return got.select("c_custkey", F.col("n.element_id").alias("of_node"), F.col("r.rel_type").alias("of_rel"),
                       F.col("m.c_custkey").alias("of_map"), _target(F.col("wrong")).alias("wrong_kind"))
 

@@ -198,7 +198,7 @@ def shortest_path_all(spark, d):
     """From the supplier with key 0 to every part and supplier; an edge costs its smallest quantity."""
     graph = _supply(spark, d, "l_quantity")
     start = order_graph(spark, d).nodes("supplier").where("s_suppkey = 0").select(F.col("vid").alias("id"))
-    return distances(graph, start)
+    return distances(graph, start).select("id", "cost", "hops")
 
 
 def _route_sql() -> str:
@@ -219,8 +219,7 @@ def shortest_path_route(spark, d):
     """The route itself, to the part with the highest key; the lowest id goes first among equals."""
     g = order_graph(spark, d)
     graph = _supply(spark, d, "l_quantity")
-    graph.edges = checkpointed(graph.edges)
     start = g.nodes("supplier").where("s_suppkey = 0").select(F.col("vid").alias("id"))
     target = g.nodes("part").agg(F.max("vid")).first()[0]
-    route = path_to(graph, distances(graph, start, target), target)
+    route = path_to(distances(graph, start, target), target)
     return route.select("total_cost", F.array_join(F.transform("node_ids", _element), ",").alias("nodes"))

@@ -232,16 +232,16 @@ def show(cell: Cell) -> Column:
         return F.lit("NullValue")
     if cell.kind == "list":
         items = F.transform(cell.col, lambda x: show(Cell(x, cell.dtype.elementType)))
-        body = F.concat(F.lit("List("), F.array_join(items, ", "), F.lit(")"))
+        body = F.array_join(items, ", ")
     elif isinstance(cell.dtype, T.MapType):
         entries = F.transform(
             F.map_entries(cell.col),
             lambda e: F.concat(e["key"], F.lit(" -> "), show(Cell(e["value"], cell.dtype.valueType))),
         )
-        body = F.concat(F.lit("SeqMap("), F.array_join(entries, ", "), F.lit(")"))
+        body = F.array_join(entries, ", ")
     elif cell.kind == "map":
         parts = [F.concat(F.lit(f"{n} -> "), show(cell.field(n))) for n in cell.dtype.fieldNames()]
-        body = F.concat(F.lit("SeqMap("), F.concat_ws(", ", *parts), F.lit(")"))
+        body = F.concat_ws(", ", *parts)
     elif cell.kind == "bytes":
         body = F.concat(F.lit("0x"), F.hex(cell.col))
     elif isinstance(cell.dtype, T.StructType):

@@ -273,7 +273,7 @@ def object_map(value: Decoder, key: KeyDecoder = STRING_KEY) -> Decoder:
         if sole:
             outcomes += [(sole[0] & test, d) for test, d in _entries(sole[1], key, value)]
         outcomes += _entries(cell, key, value)
-        fail = could_not_decode(cell, "NeoObject")
+        fail = could_not_decode(cell, "Object")
         if not outcomes:
             return Decoded(F.lit(None), fail)
         nothing = F.when(F.lit(False), outcomes[0][1].value)

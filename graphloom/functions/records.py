@@ -52,7 +52,7 @@ def structural(kinds: tuple[str, ...], type_name: str) -> Decoder:
 node = structural(("node",), "Node")
 relationship = structural(("relationship",), "Relationship")
 path = structural(("path",), "Path")
-neo_object = structural(("node", "relationship", "map"), "NeoObject")
+any_object = structural(("node", "relationship", "map"), "Object")
 
 
 def objects_of(cell: Cell) -> list[tuple[Column, Cell]]:
@@ -73,7 +73,7 @@ def _objects(cell: Cell) -> list[tuple[Column, Cell]]:
 def from_object(run: Callable[[Cell], Decoded]) -> Decoder:
     def decode(cell: Cell) -> Decoded:
         outcomes = [(test, run(obj)) for test, obj in objects_of(cell)]
-        fail = could_not_decode(cell, "NeoObject")
+        fail = could_not_decode(cell, "Object")
         if not outcomes:
             return Decoded(F.lit(None), fail)
         if isinstance(cell, Record) and len(outcomes) == 1:

@@ -64,8 +64,8 @@ KIND_LABELS = {
     "local_datetime": "LocalDateTime",
     "zoned_time": "ZonedTime",
     "zoned_datetime": "ZonedDateTime",
-    "list": "NeoList",
-    "map": "NeoMap",
+    "list": "List",
+    "map": "Map",
     "node": "Node",
     "relationship": "Relationship",
     "path": "Path",

@@ -51,21 +51,16 @@ def path_contains_rel(path: Column, rel: Column) -> Column:
 def segments_of(points: DataFrame, path_id: str, pos: str) -> DataFrame:
     """Consecutive points of each path as segments.
 
-    Each point meets its successor by an equi-join on (path, position), so a path of any length is
-    spread over many tasks. A path with a single point has one row whose ``end`` is null.
+    Positions count up by one. Each point meets its successor and its predecessor by equi-joins on
+    (path, position), so a path of any length is spread over many tasks. A path with a single point
+    has one row whose ``end`` is null.
     """
-    here = points.select(
-        F.col(path_id), F.col(pos).alias("pos"), F.struct(*[c for c in points.columns if c != path_id]).alias("start")
-    )
-    nxt = points.select(
-        F.col(path_id), (F.col(pos) - 1).alias("pos"),
-        F.struct(*[c for c in points.columns if c != path_id]).alias("end"),
-    )
-    firsts = points.groupBy(path_id).agg(F.min(pos).alias("first_pos"), F.max(pos).alias("last_pos"))
-    joined = here.join(nxt, [path_id, "pos"], "left").join(firsts, path_id)
-    return joined.where(F.col("end").isNotNull() | (F.col("first_pos") == F.col("last_pos"))).drop(
-        "first_pos", "last_pos"
-    )
+    point = F.struct(*[c for c in points.columns if c != path_id])
+    here = points.select(path_id, F.col(pos).alias("pos"), point.alias("start"))
+    successor = points.select(path_id, (F.col(pos) - 1).alias("pos"), point.alias("end"))
+    predecessor = points.select(path_id, (F.col(pos) + 1).alias("pos"), F.lit(True).alias("preceded"))
+    joined = here.join(successor, [path_id, "pos"], "left").join(predecessor, [path_id, "pos"], "left")
+    return joined.where("end IS NOT NULL OR preceded IS NULL").drop("preceded")
 
 
 def summarise(segments: DataFrame, path_id: str) -> DataFrame:

@@ -15,7 +15,10 @@ BROADCAST_ROWS = 200_000
 
 
 def distances(graph: Projection, sources: DataFrame, target: int | None = None) -> DataFrame:
-    """``id, cost, hops`` of every vertex that can be reached from ``sources`` (a frame with ``id``).
+    """``id, cost, hops, pred`` of every vertex that can be reached from ``sources`` (a frame with ``id``).
+
+    Among paths of equal cost the one with fewer hops is taken, then the one whose last vertex but
+    one, ``pred``, has the lowest id.
 
     Each round relaxes only the edges of vertices improved in the round before. A small frontier,
     known by its count, is broadcast to the edges, so no edge moves; a larger one is joined by key
@@ -27,7 +30,8 @@ def distances(graph: Projection, sources: DataFrame, target: int | None = None)
     hot = checkpointed(hot_keys(edges, "src"))
     state = checkpointed(
         sources.select("id").distinct().select(
-            "id", F.lit(0.0).alias("cost"), F.lit(0).cast("bigint").alias("hops"), F.lit(True).alias("fresh")
+            "id", F.lit(0.0).alias("cost"), F.lit(0).cast("bigint").alias("hops"),
+            F.lit(None).cast("bigint").alias("pred"), F.lit(True).alias("fresh"),
         )
     )
     while True:
@@ -43,35 +47,30 @@ def distances(graph: Projection, sources: DataFrame, target: int | None = None)
         else:
             reached = salted_join(edges, frontier, "src", "at", hot)
         offered = reached.select(
-            F.col("dst").alias("id"), (F.col("cost") + F.col("weight")).alias("cost"), (F.col("hops") + 1).alias("hops")
-        )
-        best_of = F.min(F.struct("cost", "hops", F.lit(True).alias("fresh"))).alias("best")
-        old = state.select("id", "cost", "hops", F.lit(False).alias("fresh"))
-        # An equal old entry sorts before a fresh one, so only real improvements stay fresh.
-        merged = offered.groupBy("id").agg(best_of).select("id", "best.*").unionByName(old)
-        state = checkpointed(
-            merged.groupBy("id").agg(F.min(F.struct("cost", "hops", "fresh")).alias("best")).select("id", "best.*")
+            F.col("dst").alias("id"), (F.col("cost") + F.col("weight")).alias("cost"),
+            (F.col("hops") + 1).alias("hops"), F.col("at").alias("pred"), F.lit(True).alias("fresh"),
         )
+        # An old entry sorts before a fresh one that is equal, so only real improvements stay fresh.
+        known = state.withColumn("fresh", F.lit(False))
+        label = F.min(F.struct("cost", "hops", "pred", "fresh")).alias("label")
+        state = checkpointed(offered.unionByName(known).groupBy("id").agg(label).select("id", "label.*"))
     edges.unpersist()
-    return state.select("id", "cost", "hops")
+    return state.drop("fresh")
 
 
-def path_to(graph: Projection, reached: DataFrame, target: int) -> DataFrame:
+def path_to(reached: DataFrame, target: int) -> DataFrame:
     """``total_cost, node_ids`` of the path to ``target``; one row, or none when it was not reached.
 
-    The path is walked back from the target, one predecessor per step, taking the lowest id among
-    equally good ones. The number of steps is the known hop count, and only that path's ids are held.
+    The path is walked back by ``pred``, one look-up in the reached vertices per hop; edges are not
+    read again. Only the ids of this one path are held.
     """
     spark = reached.sparkSession
-    end = reached.where(F.col("id") == target).first()
-    if end is None:
-        return spark.createDataFrame([], "total_cost double, node_ids array<bigint>")
-    ids, cost, hops = [target], end["cost"], end["hops"]
-    while hops > 0:
-        into = graph.edges.where(F.col("dst") == ids[0]).select("src", "weight")
-        step = into.join(reached, F.col("src") == F.col("id")).where(
-            (F.col("cost") + F.col("weight") == F.lit(cost)) & (F.col("hops") == F.lit(hops - 1))
-        )
-        prev = step.orderBy("src").limit(1).first()
-        ids, cost, hops = [prev["src"]] + ids, prev["cost"], hops - 1
-    return spark.createDataFrame([(end["cost"], ids)], "total_cost double, node_ids array<bigint>")
+    ddl = "total_cost double, node_ids array<bigint>"
+    at = reached.where(F.col("id") == target).first()
+    if at is None:
+        return spark.createDataFrame([], ddl)
+    cost, ids = at["cost"], [target]
+    while at["pred"] is not None:
+        ids.insert(0, at["pred"])
+        at = reached.where(F.col("id") == ids[0]).first()
+    return spark.createDataFrame([(cost, ids)], ddl)

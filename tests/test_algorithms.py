@@ -136,7 +136,7 @@ def test_similarity_brute_force(spark, seed):
 def test_shortest_path_of_locations(spark):
     graph = Projection(spark.range(6), edges_of(spark, ROADS, "src long, dst long, weight long"))
     for target in (None, 5):
-        route = path_to(graph, distances(graph, spark.range(1), target), 5)
+        route = path_to(distances(graph, spark.range(1), target), 5)
         names = spark.createDataFrame([(i, c) for i, c in enumerate("ABCDEF")], "id long, name string")
         shown = ids_to_props(route, "total_cost", "node_ids", names, "id", "name").first()
         assert (shown["total_cost"], shown["names"]) == (160.0, ["A", "B", "D", "E", "F"])
@@ -163,10 +163,10 @@ def test_shortest_path_brute_force(spark, monkeypatch, broadcast_rows):
     graph = Projection(spark.range(45), edges_of(spark, both, "src long, dst long, weight long"))
     reached = distances(graph, spark.range(3, 4))
     assert {r["id"]: (r["cost"], r["hops"]) for r in reached.collect()} == best
-    assert path_to(graph, reached, 44).count() == 0
+    assert path_to(reached, 44).count() == 0
     weight = {(a, b): w for a, b, w in both}
     for target in (0, 17, 39):
-        row = path_to(graph, reached, target).first()
+        row = path_to(reached, target).first()
         steps = list(zip(row["node_ids"], row["node_ids"][1:]))
         assert sum(weight[s] for s in steps) == best[target][0] == row["total_cost"]
 

@@ -86,7 +86,7 @@ def test_rejections_name_the_value(spark):
         "Couldn't decode NullValue into a int"
     )
     assert run(spark, "SELECT 'a' AS x, 2 AS y", scalars.integer)[1] == (
-        "Couldn't decode NeoMap(SeqMap(x -> Str(a), y -> Integer(2))) into a int"
+        "Couldn't decode Map(x -> Str(a), y -> Integer(2)) into a int"
     )
 
 
@@ -197,7 +197,7 @@ def test_one_key_records_are_unwrapped_once(spark):
     assert run(spark, "SELECT map('only', 5) AS m", scalars.integer, "m") == (5, None)
     assert run(spark, "SELECT parse_json('{\"only\": 5}') AS m", scalars.integer, "m") == (5, None)
     assert run(spark, "SELECT parse_json('{\"a\": {\"b\": 5}}') AS m", scalars.integer, "m")[1].startswith(
-        "Couldn't decode NeoMap("
+        "Couldn't decode Map("
     )
 
 
