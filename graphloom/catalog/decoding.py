@@ -21,13 +21,13 @@ _WIDE = "(l_partkey * 3000000019 + l_orderkey)"
 _DBL = "((l_extendedprice - 50000) * 100000.0)"
 
 
-def _lines(spark, d, **columns):
+def order_lines(spark, d, **columns):
     """Order lines with some computed columns to decode."""
     lines = table(spark, d, "lineitem")
     return lines.select(*LINE, *[c.alias(n) for n, c in columns.items()])
 
 
-def _apply(df, keys, **decoders):
+def decode_columns(df, keys, **decoders):
     """Decode columns: ``name=(column, decoder)`` gives the value, ``name_error`` its error text where asked."""
     out, shown = [], []
     for name, (column, decoder, *wants_error) in decoders.items():
@@ -42,7 +42,7 @@ def _apply(df, keys, **decoders):
 
 
 def _wide_and_double(spark, d):
-    return _lines(
+    return order_lines(
         spark, d,
         wide=F.col("l_partkey") * F.lit(3000000019) + F.col("l_orderkey"),
         dbl=(F.col("l_extendedprice") - 50000) * F.lit(100000.0),
@@ -66,7 +66,7 @@ _SAT = f"""CASE WHEN {_DBL} >= 2147483647 THEN 2147483647 WHEN {_DBL} <= -214748
                'Couldn''t decode Str(' || l_returnflag || ') into a int' AS of_string FROM lineitem""",
 )
 def decode_int(spark, d):
-    return _apply(
+    return decode_columns(
         _wide_and_double(spark, d), LINE, of_integer=("wide", scalars.integer), of_double=("dbl", scalars.integer),
         of_string=("flag", scalars.integer, True),
     )
@@ -78,7 +78,7 @@ def decode_int(spark, d):
                ({_wrapped(16, _SAT)})::INTEGER AS of_double FROM lineitem""",
 )
 def decode_short(spark, d):
-    got = _apply(_wide_and_double(spark, d), LINE, of_integer=("wide", scalars.short), of_double=("dbl", scalars.short))
+    got = decode_columns(_wide_and_double(spark, d), LINE, of_integer=("wide", scalars.short), of_double=("dbl", scalars.short))
     return got.select(*LINE, F.col("of_integer").cast("int").alias("of_integer"),
                       F.col("of_double").cast("int").alias("of_double"))
 
@@ -89,7 +89,7 @@ def decode_short(spark, d):
                ({_wrapped(8, _SAT)})::INTEGER AS of_double FROM lineitem""",
 )
 def decode_byte(spark, d):
-    got = _apply(_wide_and_double(spark, d), LINE, of_integer=("wide", scalars.byte), of_double=("dbl", scalars.byte))
+    got = decode_columns(_wide_and_double(spark, d), LINE, of_integer=("wide", scalars.byte), of_double=("dbl", scalars.byte))
     return got.select(*LINE, F.col("of_integer").cast("int").alias("of_integer"),
                       F.col("of_double").cast("int").alias("of_double"))
 
@@ -103,7 +103,7 @@ def decode_byte(spark, d):
 )
 def decode_long(spark, d):
     lines = _wide_and_double(spark, d).withColumn("dbl", F.col("dbl") * F.lit(1e10))
-    return _apply(lines, LINE, of_integer=("wide", scalars.long), of_double=("dbl", scalars.long))
+    return decode_columns(lines, LINE, of_integer=("wide", scalars.long), of_double=("dbl", scalars.long))
 
 
 @query(
@@ -112,7 +112,7 @@ def decode_long(spark, d):
         FROM lineitem""",
 )
 def decode_float(spark, d):
-    return _apply(_wide_and_double(spark, d), LINE, of_integer=("wide", scalars.single), of_double=("dbl", scalars.single))
+    return decode_columns(_wide_and_double(spark, d), LINE, of_integer=("wide", scalars.single), of_double=("dbl", scalars.single))
 
 
 @query(
@@ -121,7 +121,7 @@ def decode_float(spark, d):
                'Couldn''t decode Str(' || l_returnflag || ') into a double' AS of_string FROM lineitem""",
 )
 def decode_double(spark, d):
-    return _apply(
+    return decode_columns(
         _wide_and_double(spark, d), LINE, of_integer=("wide", scalars.double), of_double=("dbl", scalars.double),
         of_string=("flag", scalars.double, True),
     )
@@ -137,12 +137,12 @@ def decode_double(spark, d):
 def decode_bigint(spark, d):
     wide = F.col("l_partkey") * F.lit(3000000019) + F.col("l_orderkey")
     digits = F.lpad(F.hex(-wide), 16, "F")
-    lines = _lines(
+    lines = order_lines(
         spark, d, wide=wide, text=(-wide).cast("string"), raw=F.unhex(digits),
         raw_long=F.unhex(F.concat(digits, F.lit("0" * 16))), dbl=F.col("l_quantity"), flag=F.col("l_returnflag"),
     )
     big = scalars.big_integer.map(lambda v: v.cast("string"))
-    return _apply(
+    return decode_columns(
         lines, LINE, of_integer=("wide", big), of_text=("text", big), of_bytes=("raw", big),
         of_long_bytes=("raw_long", big), of_double=("dbl", big, True), bad_text=("flag", big, True),
     )
@@ -157,14 +157,14 @@ def decode_bigint(spark, d):
               'Couldn''t create a BigDecimal from ' || l_returnflag AS bad_text FROM lineitem""",
 )
 def decode_bigdecimal(spark, d):
-    lines = _lines(
+    lines = order_lines(
         spark, d, whole=F.col("l_orderkey"), dbl=F.col("l_extendedprice"),
         text=F.concat(F.lit("-"), F.col("l_orderkey"), F.lit(".25")),
         raw=F.unhex(F.lpad(F.hex("l_partkey"), 16, "0")), flag=F.col("l_returnflag"),
     )
     # A decimal's plain digits: zero would otherwise be shown as 0E-18.
     big = scalars.big_decimal.map(lambda v: F.when(v == 0, F.lit("0.000000000000000000")).otherwise(v.cast("string")))
-    return _apply(
+    return decode_columns(
         lines, LINE, of_integer=("whole", big), of_double=("dbl", big), of_text=("text", big), of_bytes=("raw", big),
         bad_text=("flag", big, True),
     )
@@ -177,7 +177,7 @@ def decode_bigdecimal(spark, d):
 )
 def decode_boolean(spark, d):
     events = table(spark, d, "events").select("event_id", (F.col("user_id") > 50).alias("flag"), "event_type")
-    return _apply(events, ["event_id"], ok=("flag", scalars.boolean), of_string=("event_type", scalars.boolean, True))
+    return decode_columns(events, ["event_id"], ok=("flag", scalars.boolean), of_string=("event_type", scalars.boolean, True))
 
 
 @query(
@@ -186,7 +186,7 @@ def decode_boolean(spark, d):
        FROM events""",
 )
 def decode_string(spark, d):
-    return _apply(table(spark, d, "events"), ["event_id"], ok=("event_type", scalars.string),
+    return decode_columns(table(spark, d, "events"), ["event_id"], ok=("event_type", scalars.string),
                   of_integer=("user_id", scalars.string, True))
 
 
@@ -197,7 +197,7 @@ def decode_string(spark, d):
 )
 def decode_bytes(spark, d):
     events = table(spark, d, "events").select("event_id", F.encode("event_type", "utf-8").alias("raw"), "event_type")
-    return _apply(events, ["event_id"], ok=("raw", scalars.binary.map(F.hex)),
+    return decode_columns(events, ["event_id"], ok=("raw", scalars.binary.map(F.hex)),
                   of_string=("event_type", scalars.binary, True))
 
 
@@ -220,7 +220,7 @@ def decode_uuid(spark, d):
     customers = table(spark, d, "customer").select(
         "c_custkey", F.upper(dashed).alias("text"), F.encode("c_name", "utf-8").alias("raw"), "c_mktsegment"
     )
-    return _apply(customers, ["c_custkey"], of_text=("text", scalars.uuid), of_bytes=("raw", scalars.uuid),
+    return decode_columns(customers, ["c_custkey"], of_text=("text", scalars.uuid), of_bytes=("raw", scalars.uuid),
                   bad_text=("c_mktsegment", scalars.uuid, True))
 
 
@@ -245,7 +245,7 @@ def _target(message):
        JOIN nation ON c_nationkey = n_nationkey""",
 )
 def decode_node(spark, d):
-    got = _apply(_customer_hop(spark, d), ["c_custkey"], n=("n", records.node), wrong=("r", records.node, True))
+    got = decode_columns(_customer_hop(spark, d), ["c_custkey"], n=("n", records.node), wrong=("r", records.node, True))
     return got.select("c_custkey", "n.element_id", F.array_join("n.labels", ",").alias("labels"),
                       _target(F.col("wrong")).alias("wrong_kind"))
 
@@ -256,7 +256,7 @@ def decode_node(spark, d):
               'Relationship' AS wrong_kind FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 )
 def decode_rel(spark, d):
-    got = _apply(_customer_hop(spark, d), ["c_custkey"], r=("r", records.relationship),
+    got = decode_columns(_customer_hop(spark, d), ["c_custkey"], r=("r", records.relationship),
                  wrong=("n", records.relationship, True))
     return got.select("c_custkey", "r.rel_type", "r.src", "r.dst", _target(F.col("wrong")).alias("wrong_kind"))
 
@@ -267,7 +267,7 @@ def decode_rel(spark, d):
        FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 )
 def decode_path(spark, d):
-    got = _apply(_customer_hop(spark, d), ["c_custkey"], p=("p", records.path), wrong=("n", records.path, True))
+    got = decode_columns(_customer_hop(spark, d), ["c_custkey"], p=("p", records.path), wrong=("n", records.path, True))
     p = F.col("p")
     return got.select("c_custkey", p["start"]["element_id"].alias("first"),
                       paths.path_end(p)["element_id"].alias("last"), F.size("p.segments").alias("length"),
@@ -283,13 +283,13 @@ def decode_point(spark, d):
     parts = table(spark, d, "part").select(
         "p_partkey", temporal.point(F.col("p_size"), F.col("p_retailprice")).alias("pt"), "p_brand"
     )
-    got = _apply(parts, ["p_partkey"], pt=("pt", scalars.point), wrong=("p_brand", scalars.point, True))
+    got = decode_columns(parts, ["p_partkey"], pt=("pt", scalars.point), wrong=("p_brand", scalars.point, True))
     return got.select("p_partkey", "pt.srid", "pt.x", "pt.y", "wrong")
 
 
 def _durations(spark, d):
     made = temporal.duration(F.col("l_linenumber"), F.col("l_linenumber") * 2, F.col("l_quantity") * 1000, 5)
-    return _lines(spark, d, dur=made, flag=F.col("l_returnflag"))
+    return order_lines(spark, d, dur=made, flag=F.col("l_returnflag"))
 
 
 @query(
@@ -299,7 +299,7 @@ def _durations(spark, d):
               'Couldn''t decode Str(' || l_returnflag || ') into a IsoDuration' AS wrong FROM lineitem""",
 )
 def decode_duration(spark, d):
-    got = _apply(_durations(spark, d), LINE, dur=("dur", scalars.iso_duration),
+    got = decode_columns(_durations(spark, d), LINE, dur=("dur", scalars.iso_duration),
                  wrong=("flag", scalars.iso_duration, True))
     return got.select(*LINE, "dur.*", "wrong")
 
@@ -310,7 +310,7 @@ def decode_duration(spark, d):
               5 AS nanos FROM lineitem""",
 )
 def duration_to_time(spark, d):
-    return _apply(_durations(spark, d), LINE, dur=("dur", temporal.duration_time)).select(*LINE, "dur.*")
+    return decode_columns(_durations(spark, d), LINE, dur=("dur", temporal.duration_time)).select(*LINE, "dur.*")
 
 
 @query(
@@ -319,7 +319,7 @@ def duration_to_time(spark, d):
        FROM lineitem""",
 )
 def duration_to_period(spark, d):
-    return _apply(_durations(spark, d), LINE, dur=("dur", temporal.duration_period)).select(*LINE, "dur.*")
+    return decode_columns(_durations(spark, d), LINE, dur=("dur", temporal.duration_period)).select(*LINE, "dur.*")
 
 
 @query(
@@ -328,7 +328,7 @@ def duration_to_period(spark, d):
               (l_linenumber * 2 * 86400 + l_quantity * 1000)::BIGINT * 1000000000 + 5 AS nanos FROM lineitem""",
 )
 def duration_to_finite(spark, d):
-    return _apply(_durations(spark, d), LINE, nanos=("dur", temporal.duration_nanos))
+    return decode_columns(_durations(spark, d), LINE, nanos=("dur", temporal.duration_nanos))
 
 
 _OFFSET = "(CASE WHEN event_type = 'click' THEN 19800 ELSE -28800 END)"
@@ -337,7 +337,7 @@ _NANOS = """(date_part('hour', {0}) * 3600000000 + date_part('minute', {0}) * 60
             + date_part('microseconds', {0}))::BIGINT * 1000"""
 
 
-def _instants(spark, d):
+def event_instants(spark, d):
     """Every event's time as the temporal kinds; the zoned ones are five and a half hours ahead or eight behind."""
     zone = F.when(F.col("event_type") == "click", "+05:30").otherwise("-08:00")
     offset = F.when(F.col("event_type") == "click", 19800).otherwise(-28800)
@@ -358,7 +358,7 @@ def _instants(spark, d):
 )
 def decode_date(spark, d):
     as_text = temporal.date.map(lambda v: v.cast("string"))
-    return _apply(_instants(spark, d), ["event_id"], of_date=("day", as_text), of_local=("local", as_text),
+    return decode_columns(event_instants(spark, d), ["event_id"], of_date=("day", as_text), of_local=("local", as_text),
                   of_zoned=("zoned", as_text), wrong=("event_type", as_text, True))
 
 
@@ -369,7 +369,7 @@ def decode_date(spark, d):
 )
 def decode_localtime(spark, d):
     nanos = temporal.time.map(lambda v: v["nano_of_day"])
-    return _apply(_instants(spark, d), ["event_id"], of_local=("local", nanos), of_zoned=("zoned", nanos),
+    return decode_columns(event_instants(spark, d), ["event_id"], of_local=("local", nanos), of_zoned=("zoned", nanos),
                   of_time=("clock", nanos), of_zoned_time=("zoned_clock", nanos))
 
 
@@ -380,7 +380,7 @@ def decode_localtime(spark, d):
 )
 def decode_localdatetime(spark, d):
     as_text = temporal.datetime.map(lambda v: F.date_format(v, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    return _apply(_instants(spark, d), ["event_id"], of_local=("local", as_text), of_zoned=("zoned", as_text))
+    return decode_columns(event_instants(spark, d), ["event_id"], of_local=("local", as_text), of_zoned=("zoned", as_text))
 
 
 @query(
@@ -389,7 +389,7 @@ def decode_localdatetime(spark, d):
                {_NANOS.format(_WALL)} AS zoned_nanos, {_OFFSET} AS zoned_offset FROM events""",
 )
 def decode_offsettime(spark, d):
-    got = _apply(_instants(spark, d), ["event_id"], t=("zoned_clock", temporal.offset_time),
+    got = decode_columns(event_instants(spark, d), ["event_id"], t=("zoned_clock", temporal.offset_time),
                  z=("zoned", temporal.offset_time))
     return got.select("event_id", F.col("t.nanos").alias("time_nanos"), F.col("t.offset_s").alias("time_offset"),
                       F.col("z.nanos").alias("zoned_nanos"), F.col("z.offset_s").alias("zoned_offset"))
@@ -403,7 +403,7 @@ def decode_offsettime(spark, d):
        FROM events""",
 )
 def decode_zoned(spark, d):
-    got = _apply(_instants(spark, d), ["event_id"], z=("zoned", temporal.zoned), wrong=("day", temporal.zoned, True))
+    got = decode_columns(event_instants(spark, d), ["event_id"], z=("zoned", temporal.zoned), wrong=("day", temporal.zoned, True))
     return got.select("event_id", F.unix_micros("z.ts").alias("instant_us"), "z.zone", "wrong")
 
 
@@ -431,7 +431,7 @@ def temporal_parse_errors(spark, d):
 )
 def decode_object(spark, d):
     held = _customer_hop(spark, d).withColumn("m", F.struct("c_custkey", F.lit(1).alias("one")))
-    got = _apply(held, ["c_custkey"], n=("n", records.any_object), r=("r", records.any_object),
+    got = decode_columns(held, ["c_custkey"], n=("n", records.any_object), r=("r", records.any_object),
                  m=("m", records.any_object), wrong=("p", records.any_object, True))
     return got.select("c_custkey", F.col("n.element_id").alias("of_node"), F.col("r.rel_type").alias("of_rel"),
                       F.col("m.c_custkey").alias("of_map"), _target(F.col("wrong")).alias("wrong_kind"))
@@ -443,13 +443,13 @@ def decode_object(spark, d):
        FROM lineitem""",
 )
 def decode_values(spark, d):
-    lines = _lines(
+    lines = order_lines(
         spark, d, o=F.struct("l_linenumber", "l_returnflag", "l_quantity"),
         xs=F.array("l_quantity", "l_discount"), m=F.create_map(F.lit("a"), "l_tax", F.lit("b"), "l_discount"),
     )
     kinds = coll.values.map(lambda xs: F.array_join(F.transform(xs, variant_kind), ","))
     count = coll.values.map(F.size)
-    return _apply(lines, LINE, of_object=("o", kinds), of_list=("xs", count), of_map=("m", count))
+    return decode_columns(lines, LINE, of_object=("o", kinds), of_list=("xs", count), of_map=("m", count))
 
 
 @query(
@@ -458,7 +458,7 @@ def decode_values(spark, d):
 )
 def decode_option(spark, d):
     joined = table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left")
-    got = _apply(joined, ["doc_id"], quality=("quality", coll.option(scalars.integer)))
+    got = decode_columns(joined, ["doc_id"], quality=("quality", coll.option(scalars.integer)))
     return got.select("doc_id", "quality", F.col("quality").isNull().alias("absent"))
 
 
@@ -473,14 +473,14 @@ def decode_either(spark, d):
     mixed = table(spark, d, "events").select(
         "event_id", F.when(F.col("event_type") == "error", text).otherwise(number).alias("v")
     )
-    got = _apply(mixed, ["event_id"], e=("v", coll.either(scalars.integer, scalars.string)))
+    got = decode_columns(mixed, ["event_id"], e=("v", coll.either(scalars.integer, scalars.string)))
     return got.select("event_id", F.col("e.left").alias("lefts"), F.col("e.right").alias("rights"))
 
 
 _HUNDRED = "list_transform(embedding, lambda x: trunc((x * 100)::DOUBLE)::BIGINT)"
 
 
-def _hundredths(spark, d):
+def hundredths(spark, d):
     scaled = F.transform("embedding", lambda x: (x * F.lit(100).cast("float")).cast("double"))
     return table(spark, d, "embeddings").select("vec_id", scaled.alias("xs"))
 
@@ -495,7 +495,7 @@ def _total(xs):
                'Couldn''t decode Integer(' || vec_id || ') into a List' AS wrong FROM embeddings""",
 )
 def decode_list(spark, d):
-    got = _apply(_hundredths(spark, d).withColumn("id", F.col("vec_id")), ["vec_id"],
+    got = decode_columns(hundredths(spark, d).withColumn("id", F.col("vec_id")), ["vec_id"],
                  xs=("xs", coll.list_of(scalars.integer)), wrong=("id", coll.list_of(scalars.integer), True))
     return got.select("vec_id", _total(F.col("xs")).alias("total"), F.size("xs").alias("n"), "wrong")
 
@@ -505,7 +505,7 @@ def decode_list(spark, d):
     f"SELECT vec_id, {_HUNDRED}[1] AS first, {_HUNDRED}[64] AS last FROM embeddings",
 )
 def decode_vector(spark, d):
-    got = _apply(_hundredths(spark, d), ["vec_id"], xs=("xs", coll.vector_of(scalars.long)))
+    got = decode_columns(hundredths(spark, d), ["vec_id"], xs=("xs", coll.vector_of(scalars.long)))
     return got.select("vec_id", F.get("xs", F.lit(0)).alias("first"), F.get("xs", F.lit(63)).alias("last"))
 
 
@@ -515,7 +515,7 @@ def decode_vector(spark, d):
         FROM embeddings""",
 )
 def decode_set(spark, d):
-    got = _apply(_hundredths(spark, d), ["vec_id"], xs=("xs", coll.set_of(scalars.long)))
+    got = decode_columns(hundredths(spark, d), ["vec_id"], xs=("xs", coll.set_of(scalars.long)))
     return got.select("vec_id", F.size("xs").alias("n"), _total(F.col("xs")).alias("total"))
 
 
@@ -533,7 +533,7 @@ def decode_pairs_map(spark, d):
     """(word, position) pairs of every text; the last position of a word wins."""
     pairs = F.transform(F.split("text", " ", -1), lambda w, i: F.struct(w.alias("k"), i.alias("v")))
     docs = table(spark, d, "documents").select("doc_id", pairs.alias("pairs"))
-    got = _apply(docs, ["doc_id"], entries=("pairs", coll.pairs_map(scalars.string, scalars.integer)))
+    got = decode_columns(docs, ["doc_id"], entries=("pairs", coll.pairs_map(scalars.string, scalars.integer)))
     shown = F.transform("entries", lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
     return got.select("doc_id", F.array_join(shown, " ").alias("entries"))
 
@@ -554,7 +554,7 @@ def decode_object_map(spark, d):
     text = lambda es: F.array_join(
         F.transform(coll.sorted_entries(es), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ","
     )
-    return _apply(
+    return decode_columns(
         held, ["s_suppkey"], of_object=("o", coll.object_map(scalars.long, upper).map(text)),
         of_map=("m", coll.object_map(scalars.integer, upper).map(text)),
         bad_key=("m", coll.object_map(scalars.integer, strange), True),
@@ -564,7 +564,7 @@ def decode_object_map(spark, d):
 @query("decode_field", "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events")
 def decode_field(spark, d):
     events = table(spark, d, "events").select("event_id", F.from_json("props", "k bigint").alias("p"))
-    return _apply(events, ["event_id"], k=("p", records.field("k", scalars.long)))
+    return decode_columns(events, ["event_id"], k=("p", records.field("k", scalars.long)))
 
 
 @query(
@@ -572,7 +572,7 @@ def decode_field(spark, d):
     f"SELECT vec_id, {_HUNDRED}[64] AS last, 'Field ''index-64'' not found' AS beyond FROM embeddings",
 )
 def decode_at(spark, d):
-    return _apply(_hundredths(spark, d), ["vec_id"], last=("xs", coll.element_at(63, scalars.long)),
+    return decode_columns(hundredths(spark, d), ["vec_id"], last=("xs", coll.element_at(63, scalars.long)),
                   beyond=("xs", coll.element_at(64, scalars.long), True))
 
 
@@ -586,7 +586,7 @@ def decode_lone(spark, d):
     high = F.filter("embedding", lambda x: x > F.lit(0.2).cast("float"))
     vectors = table(spark, d, "embeddings").select("vec_id", high.alias("xs"))
     lone = coll.lone_element(scalars.double)
-    got = _apply(vectors, ["vec_id"], first=("xs", lone), problem=("xs", lone, True))
+    got = decode_columns(vectors, ["vec_id"], first=("xs", lone), problem=("xs", lone, True))
     return got.select("vec_id", F.round("first", 6).alias("first"), "problem")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from graphloom.catalog.decoding import LINE
 from graphloom.catalog.registry import query
-from graphloom.catalog.scans import _stored
+from graphloom.catalog.scans import written_back
 from graphloom.functions import collections as coll
 from graphloom.functions import params, records, scalars, temporal
 from graphloom.functions.cells import column_of, record_of, variant_kind
@@ -34,7 +34,7 @@ def encode_scalar(spark, d):
         encode(7).alias("const_int"), encode(2.5).alias("const_double"), encode(True).alias("const_bool"),
         encode("text").alias("const_text"), encode(bytes([1, 3, 5])).alias("const_raw"),
     )
-    return _stored(spark, made, "scalar").withColumns({"raw": F.hex("raw"), "const_raw": F.hex("const_raw")})
+    return written_back(spark, made, "scalar").withColumns({"raw": F.hex("raw"), "const_raw": F.hex("const_raw")})
 
 
 @query(
@@ -49,7 +49,7 @@ def encode_uuid(spark, d):
     customer = table(spark, d, "customer").select("c_custkey", dashed.alias("id"))
     ids = scalars.uuid(column_of(customer, "id")).value
     const = encode(uuid.UUID("d18e9810-87ad-444c-871e-7e41e0e4623c"))
-    return _stored(spark, customer.select("c_custkey", ids.alias("id"), const.alias("const_id")), "uuid")
+    return written_back(spark, customer.select("c_custkey", ids.alias("id"), const.alias("const_id")), "uuid")
 
 
 @query(
@@ -71,7 +71,7 @@ def encode_temporal(spark, d):
         encode(dt.timedelta(seconds=35)).alias("const_duration"),
         encode(dt.time(13, 30)).alias("const_time"), encode(dt.time(13, 30, tzinfo=zone)).alias("const_zoned"),
     )
-    return _stored(spark, made, "temporal").select(
+    return written_back(spark, made, "temporal").select(
         "o_orderkey", F.col("day").cast("string").alias("day"),
         F.date_format("wall", "yyyy-MM-dd HH:mm:ss").alias("wall"), F.col("clock.nano_of_day").alias("clock"),
         F.unix_micros("zoned.ts").alias("instant_us"), F.col("zoned.zone").alias("zone"),
@@ -86,7 +86,7 @@ def encode_temporal(spark, d):
 )
 def encode_list(spark, d):
     made = table(spark, d, "embeddings").select("vec_id", "embedding", encode([5, 10]).alias("const_list"))
-    return _stored(spark, made, "list").select(
+    return written_back(spark, made, "list").select(
         "vec_id", F.size("embedding").alias("n"), F.round(F.get("embedding", F.lit(63)).cast("double"), 6).alias("last"),
         F.array_join(F.col("const_list").cast("array<string>"), ",").alias("const_list"),
     )
@@ -110,7 +110,7 @@ def encode_map(spark, d):
     shown = F.transform(
         F.sort_array(F.map_entries("m")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))
     )
-    return _stored(spark, made, "map").select(
+    return written_back(spark, made, "map").select(
         "p_partkey", F.array_join(shown, ",").alias("entries"), F.col("const_map")["p1"].alias("p1"),
         F.col("const_map")["p2"].alias("p2"),
     )
@@ -125,7 +125,7 @@ def encode_option(spark, d):
     """An absent value is stored as null and decodes as absent."""
     joined = table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left")
     made = joined.select("*", encode(5).alias("const_some"), encode(None).cast("int").alias("const_none"))
-    stored = _stored(spark, made, "option")
+    stored = written_back(spark, made, "option")
     shape = records.named({
         "quality": coll.option(scalars.integer), "toxic": coll.option(scalars.integer),
         "const_some": coll.option(scalars.integer), "const_none": coll.option(scalars.integer),
@@ -146,7 +146,7 @@ def encode_pair(spark, d):
         "s_suppkey", params.mixed_list([F.col("s_name"), F.col("s_nationkey")]).alias("pair"),
         encode(("a", 1)).alias("const_pair"),
     )
-    stored = _stored(spark, made, "pair")
+    stored = written_back(spark, made, "pair")
     pair = records.tuple_of(scalars.string, scalars.integer)
     got, const = pair(column_of(stored, "pair")), pair(column_of(stored, "const_pair"))
     return stored.select(
@@ -169,7 +169,7 @@ def encode_mixed(spark, d):
         params.mixed_list([F.col("user_id"), F.col("event_type"), F.col("value"), props, None]).alias("xs"),
         params.mixed_map({"big": F.col("user_id") > 50, "props": props}).alias("m"),
     )
-    stored = _stored(spark, made, "mixed")
+    stored = written_back(spark, made, "mixed")
     cell = column_of(stored, "m")
     nested = records.field("props", records.field("k", scalars.integer))(cell)
     return stored.select(
@@ -184,7 +184,7 @@ def encode_null(spark, d):
     made = table(spark, d, "nation").select(
         "n_nationkey", encode(None).cast("string").alias("np"), F.when(F.col("n_nationkey") < 0, "x").alias("op")
     )
-    return _stored(spark, made, "null").select(
+    return written_back(spark, made, "null").select(
         "n_nationkey", F.col("np").isNull().alias("np"), F.col("op").isNull().alias("op")
     )
 
@@ -202,7 +202,7 @@ def encode_record(spark, d):
     rows = deferred(fragment).run(spark, orders=table(spark, d, "orders"))
     nodes = writes.create_from_record(rows, "rec", "Order", element_id("order", "o_orderkey"))
     constants = rows.select(element_id("order", "o_orderkey").alias("element_id"), "name", "age")
-    return _stored(spark, nodes.drop("labels").join(constants, "element_id"), "record")
+    return written_back(spark, nodes.drop("labels").join(constants, "element_id"), "record")
 
 
 @query(
@@ -232,7 +232,7 @@ def roundtrip_types(spark, d):
         temporal.duration(1, 2, 3, 4).alias("iso_duration"),
         temporal.point(F.col("value"), F.lit(5.3)).alias("point"),
     )
-    stored = _stored(spark, made, "types")
+    stored = written_back(spark, made, "types")
     joined = lambda xs: F.array_join(xs.cast("array<string>"), ",")
     shape = records.named({
         "string": scalars.string, "int": scalars.long, "opt1": coll.option(scalars.integer),

@@ -91,7 +91,7 @@ def parse_value(spark, d):
     return each.groupBy("pos", variant_kind(F.col("x")).alias("kind")).agg(F.count("*").alias("n"))
 
 
-def _stored(spark, df: DataFrame, name: str) -> DataFrame:
+def written_back(spark, df: DataFrame, name: str) -> DataFrame:
     """Write and read back."""
     path = scratch_path(spark, name)
     df.write.mode("append").parquet(path)
@@ -109,7 +109,7 @@ def bulk_create_nodes(spark, d):
         table(spark, d, "embeddings"), "embedding", "Node", "data",
         lambda key, pos: F.concat(F.lit("e:"), key, F.lit(":"), pos), "vec_id",
     )
-    return _stored(spark, nodes, "bulk").select(
+    return written_back(spark, nodes, "bulk").select(
         "element_id", F.col("labels")[0].alias("label"), "vec_id", "pos",
         F.round(F.col("data").cast("double"), 6).alias("data"),
     )
@@ -126,7 +126,7 @@ def create_from_map(spark, d):
         table(spark, d, "customer").select("c_custkey", props), "props", ["name", "segment", "absent"], "Data",
         F.concat(F.lit("d:"), F.col("c_custkey")),
     )
-    return _stored(spark, nodes, "from-map").select(
+    return written_back(spark, nodes, "from-map").select(
         "element_id", F.col("labels")[0].alias("label"), "name", "segment", "absent"
     )
 
@@ -140,7 +140,7 @@ def create_from_record(spark, d):
     nodes = writes.create_from_record(
         table(spark, d, "part").select("p_partkey", rec), "rec", " Part ", element_id("part", "p_partkey")
     )
-    return _stored(spark, nodes, "from-record").select(
+    return written_back(spark, nodes, "from-record").select(
         "element_id", F.col("labels")[0].alias("label"), "p_name", "p_size", "p_retailprice"
     )
 
@@ -158,7 +158,7 @@ def create_rels(spark, d):
         ("c_custkey", "c_custkey"), ("c_nationkey", "n_nationkey"),
         F.concat(F.lit("lives_in:"), F.col("c_custkey")), "c_mktsegment",
     )
-    return _stored(spark, rels, "rels")
+    return written_back(spark, rels, "rels")
 
 
 @query(

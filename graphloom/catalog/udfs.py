@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graphloom.catalog.decoding import LINE, _apply, _instants, _lines
+from graphloom.catalog.decoding import LINE, decode_columns, event_instants, order_lines
 from graphloom.catalog.registry import query
 from graphloom.functions import records, scalars, temporal
 from graphloom.functions.cells import record_of
@@ -18,7 +18,7 @@ from graphloom.sources.tables import table
 )
 def udf_map(spark, d):
     gross = scalars.double.map(lambda v: v * 1.1)
-    return _apply(_lines(spark, d, price=F.col("l_extendedprice")), LINE, gross=("price", gross))
+    return decode_columns(order_lines(spark, d, price=F.col("l_extendedprice")), LINE, gross=("price", gross))
 
 
 @query(
@@ -32,7 +32,7 @@ def udf_emap(spark, d):
         return F.try_divide(F.lit(100.0), v - 7), F.when(is_seven, F.lit("seven has no inverse"))
 
     made = scalars.double.emap(inverse)
-    return _apply(_lines(spark, d, q=F.col("l_quantity")), LINE, x=("q", made), problem=("q", made, True))
+    return decode_columns(order_lines(spark, d, q=F.col("l_quantity")), LINE, x=("q", made), problem=("q", made, True))
 
 
 @query(
@@ -52,7 +52,7 @@ def udf_transform(spark, d):
     events = table(spark, d, "events").select(
         "event_id", F.when(F.col("event_type") == "click", text).otherwise(number).alias("v")
     )
-    return _apply(events, ["event_id"], outcome=("v", recover))
+    return decode_columns(events, ["event_id"], outcome=("v", recover))
 
 
 @query(
@@ -97,7 +97,7 @@ def udf_and(spark, d):
 )
 def udf_or(spark, d):
     number_as_text = scalars.long.map(lambda v: v.cast("string"))
-    return _apply(
+    return decode_columns(
         table(spark, d, "events").select("event_id", "user_id"), ["event_id"],
         text=("user_id", scalars.string.or_(number_as_text)),
         both_bad=("user_id", scalars.boolean.map(lambda v: v.cast("string")).or_(scalars.uuid), True),
@@ -135,7 +135,7 @@ def udf_from_function(spark, d):
     held = table(spark, d, "customer").select(
         "c_custkey", F.struct("c_name", "c_nationkey", "c_mktsegment").alias("row")
     )
-    return _apply(held, ["c_custkey"], address=("row", address))
+    return decode_columns(held, ["c_custkey"], address=("row", address))
 
 
 @query(
@@ -165,7 +165,7 @@ def udf_from_match(spark, d):
     events = table(spark, d, "events").select(
         "event_id", F.when(F.col("event_type") == "error", text).otherwise(F.parse_json("props")).alias("v"), "value"
     )
-    return _apply(events, ["event_id"], of_mixed=("v", label), of_double=("value", label, True))
+    return decode_columns(events, ["event_id"], of_mixed=("v", label), of_double=("value", label, True))
 
 
 @query(
@@ -175,8 +175,8 @@ def udf_from_match(spark, d):
 )
 def udf_numeric(spark, d):
     score = scalars.from_numeric("Score", "bigint", lambda v: v * 2, lambda v: F.floor(v / 2))
-    got = _apply(
-        _lines(spark, d, n=F.col("l_linenumber"), q=F.col("l_quantity"), f=F.col("l_returnflag")), LINE,
+    got = decode_columns(
+        order_lines(spark, d, n=F.col("l_linenumber"), q=F.col("l_quantity"), f=F.col("l_returnflag")), LINE,
         of_integer=("n", score), of_double=("q", score), of_string=("f", score, True),
     )
     return got.withColumn("of_integer", F.col("of_integer").cast("int"))
@@ -191,5 +191,5 @@ def udf_temporal(spark, d):
     year = temporal.from_temporal("Year", "int", [
         ("date", lambda c: F.year(c.col)), ("local_datetime", lambda c: F.year(c.col)),
     ])
-    return _apply(_instants(spark, d), ["event_id"], of_date=("day", year), of_local=("local", year),
+    return decode_columns(event_instants(spark, d), ["event_id"], of_date=("day", year), of_local=("local", year),
                   of_string=("event_type", year, True))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graphloom.catalog.decoding import LINE, _apply, _hundredths, _lines
+from graphloom.catalog.decoding import LINE, decode_columns, hundredths, order_lines
 from graphloom.catalog.registry import query
 from graphloom.functions import collections as coll
 from graphloom.functions import decoder as dec
@@ -22,7 +22,7 @@ from graphloom.sources.tables import table
 )
 def refine(spark, d):
     size = validate.closed_interval(scalars.integer, 1, 25)
-    return _apply(table(spark, d, "part"), ["p_partkey"], size=("p_size", size), problem=("p_size", size, True))
+    return decode_columns(table(spark, d, "part"), ["p_partkey"], size=("p_size", size), problem=("p_size", size, True))
 
 
 @query(
@@ -59,8 +59,8 @@ def enum_by_name(spark, d):
 def enum_by_value(spark, d):
     line = validate.enum_by_value("Line", {1: "First", 3: "Third", 5: "Fifth"}, scalars.integer)
     flag = validate.enum_by_value("Flag", {"R": "Returned", "A": "Accepted", "N": "None"}, scalars.string)
-    lines = _lines(spark, d, line=F.col("l_linenumber"), flag=F.col("l_returnflag"))
-    got = _apply(lines, LINE, entry=("line", line), problem=("line", line, True), flags=("flag", flag))
+    lines = order_lines(spark, d, line=F.col("l_linenumber"), flag=F.col("l_returnflag"))
+    got = decode_columns(lines, LINE, entry=("line", line), problem=("line", line, True), flags=("flag", flag))
     return got.withColumnRenamed("flags", "flag")
 
 
@@ -74,7 +74,7 @@ def enum_keys(spark, d):
     events = table(spark, d, "events").select("event_id", F.create_map("event_type", "user_id").alias("m"))
     mapped = coll.object_map(scalars.long, validate.enum_keys(["click", "view"]))
     shown = mapped.map(lambda es: F.concat_ws("=", es[0]["key"], es[0]["value"].cast("string")))
-    return _apply(events, ["event_id"], entries=("m", shown), problem=("m", mapped, True))
+    return decode_columns(events, ["event_id"], entries=("m", shown), problem=("m", mapped, True))
 
 
 @query(
@@ -88,7 +88,7 @@ def custom_keys(spark, d):
     )
     held = table(spark, d, "supplier").select("s_suppkey", F.create_map(F.lit("name"), "s_name").alias("m"))
     entry = F.col("es")[0]
-    return _apply(held, ["s_suppkey"], es=("m", coll.object_map(scalars.string, keys))).select(
+    return decode_columns(held, ["s_suppkey"], es=("m", coll.object_map(scalars.string, keys))).select(
         "s_suppkey", F.concat_ws("=", entry["key"], entry["value"]).alias("decoded"),
         keys.encode(entry["key"]).alias("encoded"),
     )
@@ -110,7 +110,7 @@ def _non_empty(name, text, make):
     )
     def run(spark, d):
         kept = make(scalars.double)
-        return _apply(_high(spark, d), ["vec_id"], n=("xs", kept.map(F.size)), problem=("xs", kept, True))
+        return decode_columns(_high(spark, d), ["vec_id"], n=("xs", kept.map(F.size)), problem=("xs", kept, True))
 
     return run
 
@@ -129,9 +129,9 @@ non_empty_chain = _non_empty("non_empty_chain", "NonEmptyChain from an empty Cha
               CASE WHEN len(xs) = 0 THEN 'NonEmptySet from an empty Set' END AS problem FROM s""",
 )
 def non_empty_set(spark, d):
-    high = _hundredths(spark, d).select("vec_id", F.filter("xs", lambda x: x >= 25).alias("xs"))
+    high = hundredths(spark, d).select("vec_id", F.filter("xs", lambda x: x >= 25).alias("xs"))
     kept = validate.non_empty_set(scalars.long)
-    return _apply(high, ["vec_id"], items=("xs", kept.map(lambda xs: F.array_join(xs, ","))), problem=("xs", kept, True))
+    return decode_columns(high, ["vec_id"], items=("xs", kept.map(lambda xs: F.array_join(xs, ","))), problem=("xs", kept, True))
 
 
 _LONG_WORDS = """SELECT doc_id, word, max(i) - 1 AS last FROM (
@@ -155,7 +155,7 @@ def non_empty_pairs_map(spark, d):
     kept = validate.non_empty_pairs_map(scalars.string, scalars.integer)
     text = kept.map(lambda es: F.array_join(
         F.transform(es, lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), " "))
-    return _apply(docs, ["doc_id"], entries=("pairs", text), problem=("pairs", kept, True))
+    return decode_columns(docs, ["doc_id"], entries=("pairs", text), problem=("pairs", kept, True))
 
 
 @query(
@@ -172,7 +172,7 @@ def non_empty_object_map(spark, d):
     kept = validate.non_empty_object_map(scalars.long)
     text = kept.map(lambda es: F.array_join(
         F.transform(es, lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ","))
-    return _apply(events, ["event_id"], entries=("m", text), problem=("m", kept, True))
+    return decode_columns(events, ["event_id"], entries=("m", text), problem=("m", kept, True))
 
 
 @query(

@@ -27,7 +27,7 @@ def article_rank(
     number of sources with a fixed bound, meet a broadcast of those sources' ranks instead, so no
     task holds a hub's whole edge list. Sums per target are reduced before their shuffle.
     """
-    edges = graph.edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
+    edges = checkpointed(graph.edges.select("src", "dst"))
     out = degrees(edges)
     totals = out.agg(F.sum("degree").alias("edges")).first()["edges"] or 0
     n_vertices = graph.vertices.count()
@@ -48,9 +48,7 @@ def article_rank(
     cold = cold.repartition(partitions, "src").sortWithinPartitions("src").persist(StorageLevel.MEMORY_AND_DISK)
     hot = edges.join(F.broadcast(hot_ids), "src", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
 
-    for done in range(max_iterations):
-        if done == 1:
-            edges.unpersist()  # the two layouts made from it are now held themselves
+    for _ in range(max_iterations):
         share = state.select(F.col("id").alias("src"), "hot", (F.col("rank") / F.col("spread")).alias("share"))
         given = cold.join(share.drop("hot"), "src").select("dst", "share")
         if any_hot:
@@ -71,8 +69,8 @@ def article_rank(
         if tolerance > 0 and (state.agg(F.max("moved")).first()[0] or 0.0) < tolerance:
             break
 
-    for held in (edges, cold, hot):
-        held.unpersist()
+    cold.unpersist()
+    hot.unpersist()
     scores = state.select("id", F.col("rank").alias("score"))
     if scaler is None:
         return scores

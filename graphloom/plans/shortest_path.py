@@ -24,7 +24,7 @@ def distances(graph: Projection, sources: DataFrame, target: int | None = None)
     known by its count, is broadcast to the edges, so no edge moves; a larger one is joined by key
     with hubs spread out. With a ``target``, work that cannot improve the target is left out.
     """
-    edges = graph.edges.select("src", "dst", "weight").persist(StorageLevel.MEMORY_AND_DISK)
+    edges = checkpointed(graph.edges.select("src", "dst", "weight")).persist(StorageLevel.MEMORY_AND_DISK)
     if edges.where("weight < 0").limit(1).count():
         raise ValueError("negative weight")
     hot = checkpointed(hot_keys(edges, "src"))

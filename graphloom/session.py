@@ -27,16 +27,18 @@ def build_session(app: str = "graphloom", master: str | None = None, shuffle_par
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a temporary folder of this machine.
+    Where that is unset, a checkpoint folder set on the context is used. Only a local-mode session
+    may fall back to a temporary folder of this machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="graphloom-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="graphloom-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -47,6 +49,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint, which outlives lost executors."""
     spark = df.sparkSession
+    folder = shared_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
