@@ -48,7 +48,8 @@ def article_rank(
     cold = cold.repartition(partitions, "src").sortWithinPartitions("src").persist(StorageLevel.MEMORY_AND_DISK)
     hot = edges.join(F.broadcast(hot_ids), "src", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
 
-    for _ in range(max_iterations):
+    rounds = max_iterations if totals else 0  # without edges every rank is the base
+    for _ in range(rounds):
         share = state.select(F.col("id").alias("src"), "hot", (F.col("rank") / F.col("spread")).alias("share"))
         given = cold.join(share.drop("hot"), "src").select("dst", "share")
         if any_hot:
