@@ -70,14 +70,17 @@ def article_rank_all(spark, d):
     _rank_sql(
         20,
         """SELECT CASE id % 8 WHEN 4 THEN 'p:' ELSE 's:' END || (id // 8) AS element_id,
-                  round(100000 * score)::BIGINT AS score FROM s ORDER BY s.score DESC, id LIMIT 5""",
+                  round(100000 * score)::BIGINT AS score FROM s ORDER BY round(s.score, 12) DESC, id LIMIT 5""",
     ),
 )
 def article_rank_top(spark, d):
-    """The five highest ranked, stopping as soon as no rank moves by 1e-7."""
+    """The five highest ranked, stopping as soon as no rank moves by 1e-7.
+
+    Scores that differ only by the order of summation are ties, and the lower id goes first.
+    """
     ranks = article_rank(_supply(spark, d), 20, 0.85, 1e-7, "L1Norm")
     return (
-        ranks.orderBy(F.desc("score"), "id").limit(5)
+        ranks.orderBy(F.desc(F.round("score", 12)), "id").limit(5)
         .select(_element(F.col("id")).alias("element_id"), F.round(F.col("score") * 100000).cast("bigint").alias("score"))
     )
 
