@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import decontaminate, exact_dedup
+from graphloom.llm import decontaminate, exact_dedup, simple8b, unigram
 from graphloom.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +63,11 @@ def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return found.drop("text_key", "matches")
 
 
+@query()
+def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return unigram.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
      groups AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM docs GROUP BY t)
@@ -69,3 +75,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """)
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return simple8b.token_files(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
