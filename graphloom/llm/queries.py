@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import decontaminate, exact_dedup, simple8b, unigram
+from graphloom.llm import decontaminate, exact_dedup, order_minhash, simple8b, unigram
 from graphloom.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,11 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+@query()
+def op9_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 @query()
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return simple8b.token_files(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
