@@ -80,7 +80,7 @@ def chains(docs: DataFrame, index: DataFrame, key: Callable[[Column], Column] =
     Grouping by key and text compares the bytes of the texts. It is begun before the shuffle, so of a text that many
     rows share each task sends one copy.
     """
-    repeated = index.where("n > 1").select(F.col("key").alias("k"))
+    repeated = sized_broadcast(index.where("n > 1").select(F.col("key").alias("k")))
     rows = docs.withColumn("key", key(F.col("text"))).join(repeated, F.col("key") == F.col("k"), "left_semi")
     chain = rows.groupBy("key", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("size"))
     chain = stored(chain, "chains")
@@ -105,7 +105,7 @@ def exact_duplicates(
     chain = chains(docs, index, key)
     alone = chain.where("links = 1").select(F.col("key").alias("k"), "keep_id", "size")
     rows = docs.select("doc_id", key(F.col("text")).alias("key"), F.sha2("text", 256).alias("text_sha256"))
-    joined = rows.join(alone, F.col("key") == F.col("k"), "left").drop("k")
+    joined = rows.join(sized_broadcast(alone), F.col("key") == F.col("k"), "left").drop("k")
     clashing = stored(chain.where("links > 1").select(F.col("key").alias("k"), "text", "keep_id", "size"), "collisions")
     if not clashing.isEmpty():  # different texts under one key: the text decides
         link = clashing.select("k", F.col("text").alias("t"), "keep_id", "size")
