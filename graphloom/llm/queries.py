@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import decontaminate, exact_dedup, order_minhash, simple8b, unigram
+from graphloom.llm import decontaminate, exact_dedup, order_minhash, sentence_spans, simple8b, unigram
 from graphloom.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,11 @@ def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return found.drop("text_key", "matches")
 
 
+@query()
+def op3_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return sentence_spans.remove_repeats(table(spark, folder, "documents"))
+
+
 @query()
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return unigram.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
