@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import decontaminate, exact_dedup, order_minhash, sentence_spans, simple8b, unigram
+from graphloom.llm import decontaminate, exact_dedup, order_minhash, sentence_spans, severity, simple8b, unigram
 from graphloom.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,11 @@ def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return unigram.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query()
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return severity.severity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
      groups AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM docs GROUP BY t)
