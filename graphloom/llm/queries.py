@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import decontaminate, exact_dedup, order_minhash, sentence_spans, severity, simple8b, unigram
+from graphloom.llm import decontaminate, exact_dedup, order_minhash, sentence_spans, severity, simple8b, tag_paths, unigram
 from graphloom.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def query(sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
     return add
 
 
+@query()
+def op1_tag_paths(spark: SparkSession, folder: str) -> DataFrame:
+    return tag_paths.extract(table(spark, folder, "pages"))
+
+
 @query("""
 WITH docs AS (
   SELECT row_number() OVER () AS rid, doc_id,
