@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import decontaminate, exact_dedup, order_minhash, sentence_spans, severity, simple8b, tag_paths, unigram
+from graphloom.llm import decontaminate, exact_dedup, host_trust, order_minhash, sentence_spans, severity, simple8b, tag_paths, unigram
 from graphloom.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,11 @@ def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return unigram.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query()
+def op6_link_trust(spark: SparkSession, folder: str) -> DataFrame:
+    return host_trust.verdicts(table(spark, folder, "pages"))
+
+
 @query()
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return severity.severity(table(spark, folder, "documents"), table(spark, folder, "labels"))
