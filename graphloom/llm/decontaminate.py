@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from graphloom.llm.common import folded_words, sized_broadcast, stored, words
+from graphloom.llm.common import BROADCAST_ROWS, folded_words, sized_broadcast, stored, words
 
 #: Words of a window.
 WINDOW = 13
@@ -159,10 +159,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         F.collect_set(F.struct("start", "len", "phrase", "item_id")).alias("places")
     )
     places = stored(places, "places")
-    read = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit("")))).join(places, F.col("text_key") == F.col("k"))
+    keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    n = places.count()
+    if n <= BROADCAST_ROWS:  # then only texts with such a place are shuffled
+        keyed = keyed.join(F.broadcast(places.select("k")), F.col("text_key") == F.col("k"), "left_semi")
+    read = keyed.join(places, F.col("text_key") == F.col("k"))
     ws = read.select("doc_id", "text_key", "places", words(F.col("text")).alias("ws"))
     met = ws.select("doc_id", "text_key", F.size("ws").cast("long").alias("n_words"), _compared(F.col("ws"), F.col("places")).alias("matches"))
-    other = index.where("last").join(places.select("k"), F.col("text_key") == F.col("k"), "left_anti")
+    other = index.where("last").join(sized_broadcast(places.select("k"), n), F.col("text_key") == F.col("k"), "left_anti")
     clean = other.select("doc_id", "text_key", F.coalesce(F.col("pos") + 1, F.lit(0)).cast("long").alias("n_words")).withColumn(
         "matches", F.array().cast(met.schema["matches"].dataType)
     )
