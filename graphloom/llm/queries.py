@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import decontaminate, exact_dedup, host_trust, order_minhash, sentence_spans, severity, simple8b, tag_paths, unigram
+from graphloom.llm import decontaminate, exact_dedup, host_trust, order_minhash, role_repair, sentence_spans, severity, simple8b, tag_paths, unigram
 from graphloom.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,11 @@ def op3_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
     return sentence_spans.remove_repeats(table(spark, folder, "documents"))
 
 
+@query()
+def op4_role_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return role_repair.repair(table(spark, folder, "conversations"))
+
+
 @query()
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return unigram.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
