@@ -49,6 +49,27 @@ def folded_words(text: Column) -> Column:
     return F.array_remove(F.split(F.upper(F.coalesce(text, F.lit(""))), BREAKS_UPPER), "")
 
 
+def kept_rows(docs: DataFrame, judged: DataFrame, key: Column) -> DataFrame:
+    """The rows of ``docs`` without those that ``judged`` (doc_id, key, kept) says are not kept, with all their columns.
+
+    ``key`` is an expression over ``docs`` that names the text. Of kept rows that repeat doc_id and key one stays.
+    """
+    judged = judged.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_of")).agg(
+        F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_n")
+    )
+    judged = stored(judged.where("not _kept or _n > 1"), "judged")
+    gone = judged.where("not _kept").select("_id", "_of")
+    again = judged.where("_kept").select("_id", "_of")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_of"))
+    marked = docs.withColumn("_key", key)
+    rest = marked.join(sized_broadcast(gone), same, "left_anti")
+    n = again.count()
+    if n:
+        once = rest.join(sized_broadcast(again, n), same, "left_semi").dropDuplicates(["doc_id", "_key"])
+        rest = rest.join(sized_broadcast(again, n), same, "left_anti").unionByName(once)
+    return rest.select(*docs.columns)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(v, c): the smallest vertex of the connected component, for each end of the links (a, b).
 

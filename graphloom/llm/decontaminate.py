@@ -184,7 +184,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
     bad = contamination(docs, benchmark).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key")).distinct()
+    bad = bad.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_of")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_of"))
     marked = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = (F.col("_key") == F.col("_text_key")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-    return marked.join(bad, same, "left_anti").select(*docs.columns)
+    return marked.join(sized_broadcast(stored(bad, "contaminated")), same, "left_anti").select(*docs.columns)

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import sized_broadcast, stored
+from graphloom.llm.common import kept_rows, sized_broadcast, stored
 
 #: Heads that a bucket may hold before it is split.
 CAPACITY = 16_384
@@ -131,12 +131,5 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
     Of rows that repeat both doc_id and text, any one stays.
     """
-    found = exact_duplicates(docs).where("group_size > 1").select(
-        F.col("doc_id").alias("_doc_id"), "kept", F.col("text_sha256").alias("_sha")
-    ).distinct()
-    marked = docs.withColumn("_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)).join(
-        found, (F.col("_sha256") == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left"
-    )
-    lone = marked.where(F.col("kept").isNull()).select(*docs.columns)
-    several = marked.where("kept").dropDuplicates(["_doc_id", "_sha256"]).select(*docs.columns)
-    return lone.unionByName(several)
+    found = exact_duplicates(docs).where("group_size > 1").select("doc_id", F.col("text_sha256").alias("key"), "kept")
+    return kept_rows(docs, found, F.sha2(F.coalesce("text", F.lit("")), 256))

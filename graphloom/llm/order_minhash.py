@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import BROADCAST_ROWS, components, sized_broadcast, stored, word_list
+from graphloom.llm.common import BROADCAST_ROWS, components, kept_rows, sized_broadcast, stored, word_list
 
 #: Words of a k-mer, k-mers of a sketch row, rows of a sketch. A pair of similarity 0.8 agrees in a row with
 #: probability 0.26 and misses all rows with probability 0.00006.
@@ -215,7 +215,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     row. The class is named by its smallest doc_id that is not null; rows that repeat a doc_id in a class are all
     marked kept alike, and where all doc_ids of a class are null, class_id is null and all are kept. An empty table
     gives an empty result. Returns doc_id, class_id, class_size, n_links (links found to other texts, at least those
-    that connect the class) and kept.
+    that connect the class), kept and text_key (the hash of the text).
     """
     docs = docs.select("doc_id", "text")
     sketched = stored(sketches(docs), "sketches")
@@ -233,17 +233,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     groups = of.groupBy("c").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
     answer = of.select("v", "c", "n_links").join(groups, "c").select(F.col("v").alias("av"), "class_id", "class_size", "n_links")
     repeated = stored(answer.where("class_size > 1"), "repeated")
-    rows = sketched.select("doc_id", "v").join(sized_broadcast(repeated), F.col("v") == F.col("av"), "left")
+    rows = sketched.select("doc_id", "text_key", "v").join(sized_broadcast(repeated), F.col("v") == F.col("av"), "left")
     alone = F.col("av").isNull()
     class_id = F.when(alone, F.col("doc_id")).otherwise(F.col("class_id"))
     return rows.select(
         "doc_id", class_id.alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.coalesce(F.col("doc_id") == class_id, class_id.isNull()).alias("kept"),
+        F.coalesce(F.col("doc_id") == class_id, class_id.isNull()).alias("kept"), "text_key",
     )
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: of each class those with its smallest doc_id, with all their columns."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(sized_broadcast(gone), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of ``docs`` that stay: of each class the one with its smallest doc_id, with all their columns."""
+    found = near_duplicates(docs).where("class_size > 1").select("doc_id", F.col("text_key").alias("key"), "kept")
+    return kept_rows(docs, found, F.xxhash64(F.coalesce("text", F.lit(""))))

@@ -104,7 +104,7 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op9_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    return order_minhash.near_duplicates(table(spark, folder, "documents"))
+    return order_minhash.near_duplicates(table(spark, folder, "documents")).drop("text_key")
 
 
 @query()
