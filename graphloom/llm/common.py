@@ -49,24 +49,32 @@ def folded_words(text: Column) -> Column:
     return F.array_remove(F.split(F.upper(F.coalesce(text, F.lit(""))), BREAKS_UPPER), "")
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, or one like it that is no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def kept_rows(docs: DataFrame, judged: DataFrame, key: Column) -> DataFrame:
     """The rows of ``docs`` without those that ``judged`` (doc_id, key, kept) says are not kept, with all their columns.
 
     ``key`` is an expression over ``docs`` that names the text. Of kept rows that repeat doc_id and key one stays.
     """
-    judged = judged.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_of")).agg(
-        F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_n")
+    of, who, text, kept, n = (fresh_name(docs, x) for x in ("_of", "_id", "_text", "_kept", "_n"))
+    judged = judged.groupBy(F.col("doc_id").alias(who), F.col("key").alias(text)).agg(
+        F.max("kept").alias(kept), F.count(F.lit(1)).alias(n)
     )
-    judged = stored(judged.where("not _kept or _n > 1"), "judged")
-    gone = judged.where("not _kept").select("_id", "_of")
-    again = judged.where("_kept").select("_id", "_of")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_of"))
-    marked = docs.withColumn("_key", key)
-    rest = marked.join(sized_broadcast(gone), same, "left_anti")
-    n = again.count()
-    if n:
-        once = rest.join(sized_broadcast(again, n), same, "left_semi").dropDuplicates(["doc_id", "_key"])
-        rest = rest.join(sized_broadcast(again, n), same, "left_anti").unionByName(once)
+    judged = stored(judged.where(~F.col(kept) | (F.col(n) > 1)), "judged")
+    gone = judged.where(~F.col(kept)).select(who, text)
+    again = judged.where(F.col(kept)).select(who, text)
+    same = F.col("doc_id").eqNullSafe(F.col(who)) & (F.col(of) == F.col(text))
+    rest = docs.withColumn(of, key).join(sized_broadcast(gone), same, "left_anti")
+    several = again.count()
+    if several:
+        once = rest.join(sized_broadcast(again, several), same, "left_semi").dropDuplicates(["doc_id", of])
+        rest = rest.join(sized_broadcast(again, several), same, "left_anti").unionByName(once)
     return rest.select(*docs.columns)
 
 

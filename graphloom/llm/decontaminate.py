@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from graphloom.llm.common import BROADCAST_ROWS, folded_words, sized_broadcast, stored, words
+from graphloom.llm.common import BROADCAST_ROWS, folded_words, kept_rows, sized_broadcast, stored, words
 
 #: Words of a window.
 WINDOW = 13
@@ -183,8 +183,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    bad = contamination(docs, benchmark).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_of")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_of"))
-    marked = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return marked.join(sized_broadcast(stored(bad, "contaminated")), same, "left_anti").select(*docs.columns)
+    bad = contamination(docs, benchmark).where("contaminated").select("doc_id", F.col("text_key").alias("key"))
+    return kept_rows(docs, bad.distinct().withColumn("kept", F.lit(False)), F.xxhash64(F.coalesce("text", F.lit(""))))
