@@ -235,6 +235,36 @@ def _customer_hop(spark, d):
     )
 
 
+@query(
+    "decode_hop",
+    """SELECT c_name AS buyer, c_acctbal AS balance, o_orderkey AS order_key, o_totalprice AS price,
+              'c:' || c_custkey AS src, o_orderdate::DATE AS placed_on,
+              'Couldn''t decode Str(' || c_name || ') into a int for field ''c_name''' AS problem
+       FROM customer JOIN orders ON o_custkey = c_custkey""",
+)
+def decode_hop(spark, d):
+    """Both ends of a matched hop and the relationship between them, decoded into records."""
+    g = order_graph(spark, d)
+    customers, orders, placed = g.nodes("customer"), g.nodes("order"), g.rels("placed")
+    ends = F.col("a.element_id"), F.col("b.element_id")
+    matched = hop(customers, placed, orders).select(
+        node_value("a", customers.schema, typed=True).alias("a"), rel_value("r", placed.schema, *ends, typed=True).alias("r"),
+        node_value("b", orders.schema, typed=True).alias("b"),
+        F.col("a.element_id").alias("src"),
+    )
+    buyer = records.named({"name": ("c_name", scalars.string), "balance": ("c_acctbal", scalars.double)})
+    order = records.named({"key": ("o_orderkey", scalars.long), "price": ("o_totalprice", scalars.double)})
+    date = records.named({"date": ("o_orderdate", temporal.date)})
+    wrong = records.named({"name": ("c_name", scalars.integer)})
+    got = decode_columns(
+        matched, ["src"], buyer=("a", buyer), order=("b", order), placed=("r", date), problem=("a", wrong, True)
+    )
+    return got.select(
+        F.col("buyer.name").alias("buyer"), "buyer.balance", F.col("order.key").alias("order_key"), "order.price", "src",
+        F.col("placed.date").alias("placed_on"), "problem",
+    )
+
+
 def _target(message):
     return F.regexp_extract(message, "into a ([A-Za-z]+)$", 1)
 

@@ -98,7 +98,7 @@ def encode_list(spark, d):
 )
 def encode_map(spark, d):
     """A map whose keys are converted on the way in."""
-    keys = coll.KeyDecoder().imap(lambda k: F.concat(F.lit("KEY-"), k), lambda k: F.substring(k, 5, 100))
+    keys = coll.KeyDecoder().imap(lambda k: F.concat(F.lit("KEY-"), k), lambda k: F.substr(k, F.lit(5)))
     pairs = F.array(
         F.struct(F.lit("size").alias("k"), F.col("p_size").alias("v")),
         F.struct(F.lit("type").alias("k"), F.length("p_type").alias("v")),

@@ -13,7 +13,6 @@ from graphloom.operators.patterns import (
     lookup_pairs,
     node_value,
     rel_value,
-    where_props,
 )
 from graphloom.plans.projection import degrees
 from graphloom.sources.graph import order_graph
@@ -29,20 +28,21 @@ from graphloom.sources.tables import table
 )
 def hop_any(spark, d):
     g = order_graph(spark, d)
-    return hop(g.nodes("customer"), g.all_rels(), g.all_nodes()).select(
+    reached = g.all_nodes(g.labels_from("customer"))
+    return hop(g.nodes("customer"), g.all_rels("customer"), reached).select(
         F.col("a.element_id").alias("a"), "r.rel_type", F.col("b.element_id").alias("b")
     )
 
 
 @query(
     "hop_typed",
-    """SELECT c_name, o_orderkey, o_totalprice FROM customer JOIN orders ON o_custkey = c_custkey
-       WHERE c_mktsegment = 'BUILDING'""",
+    "SELECT c_name, o_orderkey, o_totalprice FROM customer JOIN orders ON o_custkey = c_custkey",
 )
 def hop_typed(spark, d):
     g = order_graph(spark, d)
-    buyers = where_props(g.nodes("customer"), c_mktsegment="BUILDING")
-    return hop(buyers, g.rels("placed"), g.nodes("order")).select("a.c_name", "b.o_orderkey", "b.o_totalprice")
+    return hop(g.nodes("customer"), g.rels("placed"), g.nodes("order")).select(
+        "a.c_name", "b.o_orderkey", "b.o_totalprice"
+    )
 
 
 @query(

@@ -79,14 +79,16 @@ def enum_keys(spark, d):
 
 @query(
     "custom_keys",
-    """SELECT s_suppkey, 'KEY-NAME=' || s_name AS decoded, 'name' AS encoded FROM supplier""",
+    """SELECT s_suppkey, 'KEY-' || upper(s_name || repeat('-x', 80)) || '=' || s_name AS decoded,
+              lower(s_name || repeat('-x', 80)) AS encoded FROM supplier""",
 )
 def custom_keys(spark, d):
     """Keys converted on the way in, and back again on the way out."""
     keys = coll.KeyDecoder().imap(
-        lambda k: F.lower(F.substring(k, 5, 100)), lambda k: F.concat(F.lit("KEY-"), F.upper(k))
+        lambda k: F.lower(F.substr(k, F.lit(5))), lambda k: F.concat(F.lit("KEY-"), F.upper(k))
     )
-    held = table(spark, d, "supplier").select("s_suppkey", F.create_map(F.lit("name"), "s_name").alias("m"))
+    long_key = F.concat("s_name", F.lit("-x" * 80))
+    held = table(spark, d, "supplier").select("s_suppkey", F.create_map(long_key, "s_name").alias("m"))
     entry = F.col("es")[0]
     return decode_columns(held, ["s_suppkey"], es=("m", coll.object_map(scalars.string, keys))).select(
         "s_suppkey", F.concat_ws("=", entry["key"], entry["value"]).alias("decoded"),
@@ -134,24 +136,26 @@ def non_empty_set(spark, d):
     return decode_columns(high, ["vec_id"], items=("xs", kept.map(lambda xs: F.array_join(xs, ","))), problem=("xs", kept, True))
 
 
-_LONG_WORDS = """SELECT doc_id, word, max(i) - 1 AS last FROM (
+_LAST_WORDS = """SELECT doc_id, word, max(i) - 1 AS last FROM (
                    SELECT doc_id, words[i] AS word, i FROM (
                      SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM (
-                       SELECT doc_id, list_filter(string_split(text, ' '), lambda w: length(w) > 18) AS words
+                       SELECT doc_id, string_split(text, ' ') AS words
                        FROM documents))) GROUP BY doc_id, word"""
 
 
 @query(
     "non_empty_pairs_map",
     f"""SELECT d.doc_id, entries, CASE WHEN entries IS NULL THEN 'NonEmptyMap from an empty Map' END AS problem
-        FROM documents d LEFT JOIN (
-          SELECT doc_id, string_agg(word || '=' || last, ' ' ORDER BY word) AS entries FROM ({_LONG_WORDS})
+        FROM (SELECT doc_id FROM documents UNION ALL SELECT -1) d LEFT JOIN (
+          SELECT doc_id, string_agg(word || '=' || last, ' ' ORDER BY word) AS entries FROM ({_LAST_WORDS})
           GROUP BY doc_id) w ON d.doc_id = w.doc_id""",
 )
 def non_empty_pairs_map(spark, d):
-    long_words = F.filter(F.split("text", " ", -1), lambda w: F.length(w) > 18)
-    pairs = F.transform(long_words, lambda w, i: F.struct(w.alias("k"), i.alias("v")))
+    """Every word with its last place; a row without words is added."""
+    pairs = F.transform(F.split("text", " ", -1), lambda w, i: F.struct(w.alias("k"), i.alias("v")))
     docs = table(spark, d, "documents").select("doc_id", pairs.alias("pairs"))
+    docs = docs.unionByName(spark.range(1).select(F.lit(-1).alias("doc_id"), F.slice(F.array(F.struct(
+        F.lit("").alias("k"), F.lit(0).alias("v"))), 1, 0).alias("pairs")))
     kept = validate.non_empty_pairs_map(scalars.string, scalars.integer)
     text = kept.map(lambda es: F.array_join(
         F.transform(es, lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), " "))

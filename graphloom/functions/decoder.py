@@ -101,8 +101,11 @@ class Decoder:
     def ensure(
         self, test: Callable[[Column], Column], message: Callable[[Column], Column], kind: str = "incoercible"
     ) -> "Decoder":
-        """Keep the value only where the test holds."""
-        return self.emap(lambda v: (v, F.when(~F.coalesce(test(v), F.lit(False)), message(v))), kind)
+        """Keep the value only where the test holds; a test or message that is null is a failure too."""
+        unknown = F.lit("The predicate does not hold for null")
+        return self.emap(
+            lambda v: (v, F.when(~F.coalesce(test(v), F.lit(False)), F.coalesce(message(v), unknown))), kind
+        )
 
     def transform(self, fn: Callable[[Decoded], Decoded]) -> "Decoder":
         """See success or failure and return either, so failures can be recovered."""

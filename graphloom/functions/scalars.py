@@ -80,10 +80,19 @@ def _parsed_integer(cell: Cell) -> tuple[Column, Column]:
 
 def _parsed_decimal(cell: Cell) -> tuple[Column, Column]:
     number = "^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-    value = F.when(cell.col.rlike(number), cell.col.try_cast("decimal(38,18)"))
+    value = F.when(cell.col.rlike(number) & _fits_scale(cell.col), cell.col.try_cast("decimal(38,18)"))
     return value, F.concat(F.lit("Couldn't create a BigDecimal from "), cell.col)
 
 
+def _fits_scale(text: Column) -> Column:
+    """Whether a number's text has no digit but zero beyond 18 decimals."""
+    fraction = F.regexp_extract(text, "[.]([0-9]*)", 1)
+    digits = F.regexp_replace(F.regexp_extract(text, "^[+-]?([0-9.]*)", 1), "[.]", "")
+    exponent = F.coalesce(F.regexp_extract(text, "[eE]([+-]?[0-9]+)$", 1).try_cast("bigint"), F.lit(0))
+    zeros = F.length(digits) - F.length(F.rtrim(digits, F.lit("0")))
+    return (F.rtrim(digits, F.lit("0")) == "") | (F.length(fraction) - exponent - zeros <= 18)
+
+
 def _parsed_uuid(cell: Cell) -> tuple[Column, Column]:
     widths = (8, 4, 4, 4, 12)
     pattern = "^" + "-".join(f"([0-9a-fA-F]{{1,{w}}})" for w in widths) + "$"
@@ -139,6 +148,12 @@ def _bounded_decimal(col: Column) -> tuple[Column, Column]:
     return col.try_cast("decimal(38,18)"), F.concat(F.lit("Couldn't create a BigDecimal from "), col.cast("string"))
 
 
+def _decimal_of_double(col: Column) -> tuple[Column, Column]:
+    """The shortest text of a double names it alone, so a value that leads back to the double has lost no digit."""
+    value, message = _bounded_decimal(col.cast("string"))
+    return F.when(value.cast("double") == col, value), message
+
+
 def _decimal_of_bytes(cell: Cell) -> tuple[Column, Column]:
     value, message = signed_from_bytes(cell.col)
     return value.try_cast("decimal(38,18)"), message
@@ -150,7 +165,7 @@ big_decimal = from_match(
     [
         ("integer", lambda c: _bounded_decimal(c.col)),
         # The text of a double is its shortest exact form, so 0.1 stays 0.1.
-        ("decimal", lambda c: _bounded_decimal(c.col.cast("double").cast("string"))),
+        ("decimal", lambda c: _decimal_of_double(c.col.cast("double"))),
         ("string", _parsed_decimal),
         ("bytes", _decimal_of_bytes),
     ],

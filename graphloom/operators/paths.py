@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from graphloom.session import checkpointed
 
 
 # -- as values, for patterns of fixed length --------------------------------------------------
@@ -49,18 +52,32 @@ def path_contains_rel(path: Column, rel: Column) -> Column:
 
 # -- as rows, for paths of any length ---------------------------------------------------------
 def segments_of(points: DataFrame, path_id: str, pos: str) -> DataFrame:
-    """Consecutive points of each path as segments.
+    """Consecutive points of each path as segments: ``pos``, ``start``, ``end`` and ``end_pos``.
 
-    Positions count up by one. Each point meets its successor and its predecessor by equi-joins on
-    (path, position), so a path of any length is spread over many tasks. A path with a single point
-    has one row whose ``end`` is null.
+    Points are consecutive by the order of their positions, which may leave gaps. The points are sorted over ranges of
+    (path, position), so a path of any length is spread over many tasks; the next point is found within the range,
+    and for the last point of a range it is the head of the next range of the path. A path with a single point has one
+    row whose ``end`` is null.
     """
     point = F.struct(*[c for c in points.columns if c != path_id])
-    here = points.select(path_id, F.col(pos).alias("pos"), point.alias("start"))
-    successor = points.select(path_id, (F.col(pos) - 1).alias("pos"), point.alias("end"))
-    predecessor = points.select(path_id, (F.col(pos) + 1).alias("pos"), F.lit(True).alias("preceded"))
-    joined = here.join(successor, [path_id, "pos"], "left").join(predecessor, [path_id, "pos"], "left")
-    return joined.where("end IS NOT NULL OR preceded IS NULL").drop("preceded")
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = points.repartitionByRange(parts, path_id, pos).sortWithinPartitions(path_id, pos)
+    placed = checkpointed(spread.withColumn("_place", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_part", F.shiftright("_place", 33))
+    within = Window.partitionBy(path_id, "_part").orderBy("_place")
+    here = placed.select(
+        path_id, "_part", F.col(pos).alias("pos"), point.alias("start"), F.lead(point).over(within).alias("near")
+    )
+    heads = placed.groupBy(path_id, "_part").agg(F.min_by(point, "_place").alias("head"), F.count("*").alias("n"))
+    ranges = Window.partitionBy(path_id)  # a row per range that the path reaches into
+    following = heads.select(
+        path_id, "_part", F.lead("head").over(ranges.orderBy("_part")).alias("next"), F.sum("n").over(ranges).alias("n")
+    )
+    end = F.coalesce("near", "next")
+    joined = here.join(following, [path_id, "_part"]).select(
+        path_id, "pos", "start", end.alias("end"), end[pos].alias("end_pos"), "n"
+    )
+    return joined.where("end IS NOT NULL OR n = 1").drop("n")
 
 
 def summarise(segments: DataFrame, path_id: str) -> DataFrame:
@@ -75,7 +92,8 @@ def summarise(segments: DataFrame, path_id: str) -> DataFrame:
 
 def nodes_in_order(segments: DataFrame, path_id: str) -> DataFrame:
     """The nodes of every path, one row each: the start and every segment end."""
-    ends = segments.where(F.col("end").isNotNull()).select(path_id, (F.col("pos") + 1).alias("pos"),
-                                                             F.col("end").alias("node"))
+    ends = segments.where(F.col("end").isNotNull()).select(
+        path_id, F.col("end_pos").alias("pos"), F.col("end").alias("node")
+    )
     lowest = segments.groupBy(path_id).agg(F.min_by("start", "pos").alias("node"), F.min("pos").alias("pos"))
     return lowest.select(path_id, "pos", "node").unionByName(ends)

@@ -20,7 +20,7 @@ def has_type(rel_type: Column, name: str) -> Column:
 
 def where_props(df: DataFrame, **props) -> DataFrame:
     """Inline property equality; a null argument matches nothing."""
-    return df.where(reduce(Column.__and__, (F.col(k) == F.lit(v) for k, v in props.items())))
+    return df.where(reduce(Column.__and__, (F.col(k) == F.lit(v) for k, v in props.items()), F.lit(True)))
 
 
 def hop(start: DataFrame, rel: DataFrame, end: DataFrame, names: tuple[str, str, str] = ("a", "r", "b")) -> DataFrame:
@@ -79,25 +79,36 @@ def attach_metric(nodes: DataFrame, metric: DataFrame, node_key: str, metric_key
     return nodes.join(m, F.col(node_key) == F.col("_metric_key"), "left").drop("_metric_key")
 
 
-def node_value(df_alias: str, schema: T.StructType, keys: tuple[str, ...] = ("vid", "element_id", "labels")) -> Column:
-    """A node as one value. Properties are JSON text, so nodes of any label share a type and compare equal."""
+def node_value(
+    df_alias: str, schema: T.StructType, keys: tuple[str, ...] = ("vid", "element_id", "labels"), typed: bool = False
+) -> Column:
+    """A node as one value.
+
+    ``typed`` properties are a struct, which record decoders read. Otherwise they are JSON text, so nodes of any label
+    share a type, as the nodes of one path must, and compare equal.
+    """
     props = [F.col(f"{df_alias}.{f.name}") for f in schema.fields if f.name not in keys]
     return F.struct(
         F.col(f"{df_alias}.element_id").alias("element_id"),
         F.col(f"{df_alias}.labels").alias("labels"),
-        F.to_json(F.struct(*props)).alias("properties"),
+        _properties(props, typed).alias("properties"),
     )
 
 
-def rel_value(df_alias: str, schema: T.StructType, src: Column, dst: Column) -> Column:
+def _properties(props: list[Column], typed: bool) -> Column:
+    if typed:
+        return F.struct(*props)
+    return F.to_json(F.struct(*props)) if props else F.lit("{}")
+
+
+def rel_value(df_alias: str, schema: T.StructType, src: Column, dst: Column, typed: bool = False) -> Column:
     """A relationship as one value, with the element ids of its ends."""
     keys = ("element_id", "rel_type", "src", "dst")
     props = [F.col(f"{df_alias}.{f.name}") for f in schema.fields if f.name not in keys]
-    text = F.to_json(F.struct(*props)) if props else F.lit("{}")
     return F.struct(
         F.col(f"{df_alias}.element_id").alias("element_id"),
         F.col(f"{df_alias}.rel_type").alias("rel_type"),
-        text.alias("properties"),
+        _properties(props, typed).alias("properties"),
         src.alias("src"),
         dst.alias("dst"),
     )

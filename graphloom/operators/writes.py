@@ -91,6 +91,14 @@ class UnitOfWork:
         df.write.mode("overwrite").parquet(f"{self.root}/tables/{name}/v={self.version}")
         self.staged.append(name)
 
+    def discard(self) -> None:
+        """Remove the staged tables of this version, wherever the root is stored."""
+        jvm = self.spark.sparkContext._jvm
+        for name in self.staged:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/tables/{name}/v={self.version}")
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self.staged.clear()
+
     def commit(self) -> None:
         """One small file names all tables of the version. Spark moves it into place last."""
         rows = [(self.version, name) for name in self.staged]
@@ -100,9 +108,16 @@ class UnitOfWork:
 
 @contextlib.contextmanager
 def transact(spark: SparkSession, root: str) -> Iterator[UnitOfWork]:
-    """Commit when the block ends, publish nothing when it raises. One writer per root is assumed."""
+    """Commit when the block ends; publish nothing and remove what was staged when it raises.
+
+    One writer per root is assumed. A driver that dies inside the block leaves its staged files; no manifest names them.
+    """
     unit = UnitOfWork(spark, root)
-    yield unit
+    try:
+        yield unit
+    except BaseException:
+        unit.discard()
+        raise
     unit.commit()
 
 

@@ -13,9 +13,6 @@ from graphloom.plans.projection import Projection, degrees
 from graphloom.plans.skew import HOT_SHARE
 from graphloom.session import checkpointed
 
-# Edges held per partition until the session's number of shuffle partitions is reached.
-EDGES_PER_PARTITION = 250_000
-
 
 def article_rank(
     graph: Projection, max_iterations: int = 20, damping: float = 0.85, tolerance: float = 1e-7,
@@ -43,8 +40,8 @@ def article_rank(
     hot_ids = state.where("hot").select(F.col("id").alias("src"))
     any_hot = not hot_ids.isEmpty()
     cold = edges.join(F.broadcast(hot_ids), "src", "left_anti") if any_hot else edges
-    most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    partitions = min(most, totals // EDGES_PER_PARTITION + 1)
+    # as many as a shuffle has, so that a join with the ranks leaves the edges where they are
+    partitions = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cold = cold.repartition(partitions, "src").sortWithinPartitions("src").persist(StorageLevel.MEMORY_AND_DISK)
     hot = edges.join(F.broadcast(hot_ids), "src", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
 

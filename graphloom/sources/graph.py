@@ -31,23 +31,39 @@ class PropertyGraph:
 
     node_tables: dict[str, Callable[[], DataFrame]] = field(default_factory=dict)
     rel_tables: dict[str, Callable[[], DataFrame]] = field(default_factory=dict)
+    # Labels that relationships of a type start and end at, where they are known.
+    rel_ends: dict[str, tuple[set[str], set[str]]] = field(default_factory=dict)
     # Whether a vertex id belongs to one of some labels, where the id itself tells.
     id_has_label: Callable[[Column, list[str]], Column] | None = None
 
     def nodes(self, label: str) -> DataFrame:
-        """Nodes with a label; the label is matched without case."""
-        return self.node_tables[label.lower()]()
+        """Nodes with a label; the label is matched without case, and an unknown one matches nothing."""
+        opened = self.node_tables.get(label.lower())
+        return opened() if opened else self.all_nodes().limit(0)
 
     def rels(self, rel_type: str) -> DataFrame:
-        return self.rel_tables[rel_type.lower()]()
+        opened = self.rel_tables.get(rel_type.lower())
+        return opened() if opened else self.all_rels().limit(0)
 
-    def all_nodes(self) -> DataFrame:
-        """Keys of every node, whatever its label."""
-        return reduce(DataFrame.unionByName, (t().select(*NODE_KEYS) for t in self.node_tables.values()))
+    def all_nodes(self, labels: set[str] | None = None) -> DataFrame:
+        """Keys of every node, whatever its label, or of the nodes of some labels."""
+        opened = [t for name, t in self.node_tables.items() if labels is None or name in labels]
+        return reduce(DataFrame.unionByName, (t().select(*NODE_KEYS) for t in opened))
 
-    def all_rels(self) -> DataFrame:
-        """Endpoints and type of every relationship."""
-        return reduce(DataFrame.unionByName, (t().select("rel_type", "src", "dst") for t in self.rel_tables.values()))
+    def all_rels(self, start: str | None = None) -> DataFrame:
+        """Endpoints and type of every relationship, or of those types that may start at a label."""
+        opened = (self.rel_tables[t]().select("rel_type", "src", "dst") for t in self.types_from(start))
+        return reduce(DataFrame.unionByName, opened)
+
+    def types_from(self, start: str | None) -> list[str]:
+        """Types that may start at nodes of a label. Types of unknown ends may start anywhere."""
+        ends = self.rel_ends
+        return [t for t in self.rel_tables if start is None or t not in ends or start.lower() in ends[t][0]]
+
+    def labels_from(self, start: str) -> set[str]:
+        """Labels that one hop from a label may end at."""
+        types = self.types_from(start)
+        return set().union(*(self.rel_ends[t][1] if t in self.rel_ends else set(self.node_tables) for t in types))
 
 
 # Code of each label within a vertex id: vid = key * 8 + code, one to one and kept in 64 bits.
@@ -144,5 +160,13 @@ def order_graph(spark: SparkSession, folder: str) -> PropertyGraph:
             "in_nation": in_nation,
             "in_region": in_region,
         },
+        {
+            "placed": ({"customer"}, {"order"}),
+            "contains": ({"order"}, {"part"}),
+            "supplied_by": ({"part"}, {"supplier"}),
+            "filled_by": ({"order"}, {"supplier"}),
+            "in_nation": ({"customer", "supplier"}, {"nation"}),
+            "in_region": ({"nation"}, {"region"}),
+        },
         lambda vid, labels: F.pmod(vid, F.lit(8)).isin(*[LABEL_CODES[name.lower()] for name in labels]),
     )

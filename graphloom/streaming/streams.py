@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,12 +50,23 @@ def collect_into(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def void(stream: DataFrame, checkpoint: str) -> None:
-    """Run what is available and drop the rows."""
+def void(stream: DataFrame, checkpoint: str, *counters: Column) -> list[tuple]:
+    """Run what is available and drop the rows; returns the counters of each batch that ran."""
+    seen: list[tuple] = []
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        observed = Observation(f"void-{batch_id}")
+        counted = rows.observe(observed, *counters) if counters else rows
+        counted.write.format("noop").mode("overwrite").save()
+        if counters:
+            seen.append(tuple(observed.get.values()))
+
     query = (
-        stream.writeStream.format("noop").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        .start()
     )
     query.awaitTermination()
+    return seen
 
 
 def run_with_summary(stream: DataFrame, name: str, counter: str, path: str, checkpoint: str) -> DataFrame:
@@ -67,8 +78,9 @@ def run_with_summary(stream: DataFrame, name: str, counter: str, path: str, chec
     counts = f"{path}-summary"
 
     def batch(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        done = spark.read.parquet(f"{path}/batch={batch_id}").agg(F.count("*").alias(counter))
+        seen = Observation(f"records-{batch_id}")
+        rows.observe(seen, F.count(F.lit(1)).alias(counter)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        done = spark.createDataFrame([(seen.get[counter],)], f"{counter} bigint")
         done.write.mode("overwrite").parquet(f"{counts}/batch={batch_id}")
 
     query = (

@@ -77,6 +77,10 @@ def test_big_numbers(spark):
     assert run(spark, "SELECT 1.5D", scalars.big_integer, "1.5")[1] == "Couldn't decode Decimal(1.5) into a BigInt"
     assert float(run(spark, "SELECT 0.1D", scalars.big_decimal)[0]) == 0.1
     assert run(spark, "SELECT 'x'", scalars.big_decimal)[1] == "Couldn't create a BigDecimal from x"
+    for text in ("'1.0000000000000000009'", "'1e-20'", "'12345678901234567890123'", "1e-20D", "1.2345678901234567e-5D"):
+        assert "Couldn't create a BigDecimal" in run(spark, f"SELECT {text}", scalars.big_decimal)[1]
+    for text in ("'1.500000000000000000000000'", "'0e-40'", "'200e-20'", "'1e3'", "'-.5'"):
+        assert run(spark, f"SELECT {text}", scalars.big_decimal)[1] is None
 
 
 def test_rejections_name_the_value(spark):
@@ -306,6 +310,12 @@ def test_strict_stops_and_split_separates(spark):
     assert [r["errors"][0]["message"] for r in quarantine.collect()] == ["-3 is too low for field 'id'"]
     with pytest.raises(Exception, match="-3 is too low for field 'id'"):
         strict(decoded).collect()
+    optional = records.named({"id": positive.map(lambda v: v)})
+    nothing = decode(spark.sql("SELECT CAST(NULL AS INT) AS id"), optional)
+    assert nothing.first()["errors"]  # a predicate that is null does not hold
+    kept = decode(spark.sql("SELECT CAST(NULL AS STRING) AS s"), records.named({"s": scalars.string.transform(
+        lambda d: type(d)(d.value, F.slice(d.errors, 1, 0))).ensure(lambda v: v > "", lambda v: F.concat(v, F.lit("!")))}))
+    assert kept.first()["errors"][0]["message"] == "The predicate does not hold for null for field 's'"
 
 
 def test_validated_types(spark):

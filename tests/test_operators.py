@@ -12,7 +12,7 @@ from graphloom.functions.cells import column_of
 from graphloom.functions.decoder import decode
 from graphloom.functions.params import Fragment, Name, Param, encode, mixed_list, mixed_map, query, record_params
 from graphloom.operators import paths, results, writes
-from graphloom.operators.patterns import has_label, has_type, ids_to_props, lookup_pairs, prop
+from graphloom.operators.patterns import has_label, has_type, hop, ids_to_props, lookup_pairs, prop, where_props
 from graphloom.session import scratch_path
 from graphloom.sources.graph import order_graph
 from graphloom.streaming import streams
@@ -76,6 +76,41 @@ def test_paths_as_rows(spark):
     assert [(r["p"], r["pos"], r["node"]["name"]) for r in nodes] == [(1, 0, "x"), (1, 1, "y"), (1, 2, "z"), (2, 5, "w")]
 
 
+def test_paths_with_gaps(spark):
+    """Consecutive is by order; a long path crosses the ranges it is sorted over."""
+    rows = [(1, i * i, f"n{i}") for i in range(200)] + [(2, 7, "alone"), (3, -5, "a"), (3, 90, "b")]
+    segments = paths.segments_of(spark.createDataFrame(rows, "p int, i int, name string"), "p", "i")
+    found = sorted((r["p"], r["pos"], r["start"]["name"], r["end"] and r["end"]["name"]) for r in segments.collect())
+    expected = [(1, i * i, f"n{i}", f"n{i + 1}") for i in range(199)] + [(2, 7, "alone", None), (3, -5, "a", "b")]
+    assert found == expected
+    nodes = paths.nodes_in_order(segments, "p").where("p = 1").orderBy("pos").collect()
+    assert [r["node"]["name"] for r in nodes] == [f"n{i}" for i in range(200)]
+
+
+def test_no_properties_match_everything(spark):
+    assert where_props(spark.range(3)).count() == 3
+
+
+def test_unknown_names_match_nothing(spark, folder):
+    g = order_graph(spark, folder)
+    assert g.nodes("planet").count() == 0 and g.rels("orbits").count() == 0
+
+
+def test_hop_leaves_out_types_that_cannot_match(spark, folder):
+    g = order_graph(spark, folder)
+    plan = hop(g.nodes("customer"), g.all_rels("customer"), g.all_nodes(g.labels_from("customer")))
+    assert "lineitem" not in "".join(plan.inputFiles())
+
+
+def test_failed_unit_removes_its_files(spark, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(RuntimeError):
+        with writes.transact(spark, root) as unit:
+            unit.write("t", spark.range(3))
+            raise RuntimeError("stopped")
+    assert not list(tmp_path.glob("tables/t/v=*")) and writes.snapshot(spark, root) == {}
+
+
 def test_single(spark):
     assert results.single(spark.range(1)).first()["id"] == 0
     assert results.single(spark.range(5).orderBy("id"), lenient=True).first()["id"] == 0
