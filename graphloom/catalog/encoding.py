@@ -200,9 +200,8 @@ def encode_record(spark, d):
         " FROM {orders}",
     )
     rows = deferred(fragment).run(spark, orders=table(spark, d, "orders"))
-    nodes = writes.create_from_record(rows, "rec", "Order", element_id("order", "o_orderkey"))
-    constants = rows.select(element_id("order", "o_orderkey").alias("element_id"), "name", "age")
-    return written_back(spark, nodes.drop("labels").join(constants, "element_id"), "record")
+    nodes = writes.create_from_record(rows, "rec", "Order", element_id("order", "o_orderkey"), "name", "age")
+    return written_back(spark, nodes.drop("labels"), "record")
 
 
 @query(

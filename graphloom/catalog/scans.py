@@ -11,6 +11,7 @@ from graphloom.catalog.registry import query
 from graphloom.functions.cells import variant_kind
 from graphloom.functions.params import as_variant, mixed_list
 from graphloom.operators import results, writes
+from graphloom.operators.patterns import hop
 from graphloom.session import scratch_path
 from graphloom.sources.graph import element_id, order_graph
 from graphloom.sources.tables import table
@@ -257,3 +258,28 @@ def atomic_publish(spark, d):
             tables["supplier"].select(F.lit("supplier").alias("name"), F.col("s_suppkey").alias("key")),
         ],
     )
+
+
+@query(
+    "graph_reopen",
+    """SELECT s_name, 's:' || s_suppkey AS element_id, n_name AS nation FROM supplier JOIN nation ON s_nationkey = n_nationkey
+       WHERE s_acctbal > 0""",
+)
+def graph_reopen(spark, d):
+    """Create, publish, open again and match: suppliers in credit have a second label."""
+    root = scratch_path(spark, "graph")
+    supplier, nation = table(spark, d, "supplier"), table(spark, d, "nation")
+    suppliers = writes.create_nodes(supplier, "Supplier", element_id("supplier", "s_suppkey"), "s_suppkey", "s_name", "s_acctbal")
+    both = F.concat("labels", F.array(F.lit(" Creditor ")))
+    suppliers = suppliers.withColumn("labels", F.when(F.col("s_acctbal") > 0, both).otherwise(F.col("labels")))
+    nations = writes.create_nodes(nation, "Nation", element_id("nation", "n_nationkey"), "n_nationkey", "n_name")
+    lives = writes.create_rels(
+        supplier, "IN_NATION", suppliers, nations, ("s_suppkey", "s_suppkey"), ("s_nationkey", "n_nationkey"),
+        F.concat(F.lit("in_nation:"), F.col("s_suppkey").cast("string")),
+    )
+    writes.publish_graph(spark, root, {"suppliers": suppliers, "nations": nations}, {"IN_NATION": lives})
+    g = writes.open_graph(spark, root)
+    if g.all_nodes().count() != suppliers.count() + nations.count():
+        raise AssertionError("a node of two labels is there twice")
+    matched = hop(g.nodes("creditor"), g.rels("in_nation"), g.nodes("NATION"))
+    return matched.select("a.s_name", "a.element_id", F.col("b.n_name").alias("nation"))

@@ -8,7 +8,7 @@ from graphloom.catalog.registry import query
 from graphloom.functions import collections as coll
 from graphloom.functions import records, scalars
 from graphloom.functions.cells import column_of
-from graphloom.functions.decoder import decode, split, strict
+from graphloom.functions.decoder import decode, settle, strict
 from graphloom.operators import results
 from graphloom.sources.graph import order_graph
 from graphloom.sources.tables import table
@@ -106,9 +106,11 @@ def traverse(spark, d):
     number = F.try_variant_get(F.parse_json("props"), "$.k", "variant")
     text = F.variant_get(F.to_variant_object(F.struct(F.col("event_type").alias("t"))), "$.t", "variant")
     mixed = events.select("event_id", F.when(F.col("event_type") == "error", text).otherwise(number).alias("k"))
-    good, bad = split(decode(mixed, records.field("k", scalars.integer), ["event_id"]))
-    return good.select("event_id", F.col("value").alias("k"), F.lit("good").alias("state")).unionAll(
-        bad.select("event_id", F.lit(None).cast("int"), F.col("errors")[0]["message"])
+    settled = settle(decode(mixed, records.field("k", scalars.integer), ["event_id"]))  # one pass for both
+    good = F.size("errors") == 0
+    return settled.select(
+        "event_id", F.when(good, F.col("value")).alias("k"),
+        F.when(good, "good").otherwise(F.get("errors", F.lit(0))["message"]).alias("state"),
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphloom.sources.graph import normalised
+from graphloom.sources.graph import PropertyGraph, StoredGraph, normalised
 
 
 def create_nodes(df: DataFrame, label: str, element_id: Column, *props: Column | str) -> DataFrame:
@@ -33,13 +33,13 @@ def create_from_map(df: DataFrame, props: str, names: list[str], label: str, ele
     return create_nodes(df, label, element_id, *[F.try_element_at(F.col(props), F.lit(n)).alias(n) for n in names])
 
 
-def create_from_record(df: DataFrame, record: str, label: str, element_id: Column) -> DataFrame:
-    """A record column becomes properties in declaration order. Nested records are refused."""
+def create_from_record(df: DataFrame, record: str, label: str, element_id: Column, *props: Column | str) -> DataFrame:
+    """A record column becomes properties in declaration order, before other ones. Nested records are refused."""
     dtype = df.schema[record].dataType
     nested = [f.name for f in dtype.fields if isinstance(f.dataType, T.StructType)]
     if nested:
         raise TypeError(f"a record used as properties cannot hold records: {nested}")
-    return create_nodes(df, label, element_id, f"{record}.*")
+    return create_nodes(df, label, element_id, f"{record}.*", *props)
 
 
 def create_rels(df: DataFrame, rel_type: str, start: DataFrame, end: DataFrame, start_key: tuple[str, str],
@@ -131,3 +131,29 @@ def snapshot(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         return {}
     newest = manifest.groupBy("name").agg(F.max("version").alias("version"))
     return {r["name"]: spark.read.parquet(f"{root}/tables/{r['name']}/v={r['version']}") for r in newest.collect()}
+
+
+def publish_graph(spark: SparkSession, root: str, nodes: dict[str, DataFrame], rels: dict[str, DataFrame]) -> None:
+    """Publish node tables and relationship tables as one unit. A node belongs in one table, whatever its labels."""
+    with transact(spark, root) as unit:
+        for name, df in nodes.items():
+            unit.write(f"nodes.{name}", df)
+        for name, df in rels.items():
+            unit.write(f"rels.{normal_name(name)}", df)
+
+
+def normal_name(name: str) -> str:
+    return name.strip().lower()
+
+
+def open_graph(spark: SparkSession, root: str) -> PropertyGraph:
+    """The graph published under ``root``, to be matched like any other. Nodes are joined by their element ids."""
+    tables = snapshot(spark, root)
+
+    def opened(kind: str) -> dict[str, Callable[[], DataFrame]]:
+        found = {n.partition(".")[2]: t for n, t in tables.items() if n.startswith(f"{kind}.")}
+        if kind == "nodes":
+            found = {n: t.withColumn("vid", F.col("element_id")) for n, t in found.items()}
+        return {n: (lambda t=t: t) for n, t in found.items()}
+
+    return StoredGraph(opened("nodes"), opened("rels"))

@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.plans.projection import Projection, degrees
-from graphloom.plans.skew import HOT_SHARE
 from graphloom.session import checkpointed
 
+# A source is hot when it holds more than this share of the edges, so there are at most 1,000 in any graph.
+HOT_SHARE = 0.001
+
 
 def article_rank(
     graph: Projection, max_iterations: int = 20, damping: float = 0.85, tolerance: float = 1e-7,

@@ -61,16 +61,22 @@ def distances(graph: Projection, sources: DataFrame, target: int | None = None)
 def path_to(reached: DataFrame, target: int) -> DataFrame:
     """``total_cost, node_ids`` of the path to ``target``; one row, or none when it was not reached.
 
-    The path is walked back by ``pred``, one look-up in the reached vertices per hop; edges are not
-    read again. Only the ids of this one path are held.
+    The path is followed back in steps of doubling length: with the vertices 1, 2, 4, ... hops before each reached
+    vertex, a path of n hops is found by log n joins, and nothing of it passes the driver. Edges are not read again.
     """
     spark = reached.sparkSession
-    ddl = "total_cost double, node_ids array<bigint>"
-    at = reached.where(F.col("id") == target).first()
-    if at is None:
-        return spark.createDataFrame([], ddl)
-    cost, ids = at["cost"], [target]
-    while at["pred"] is not None:
-        ids.insert(0, at["pred"])
-        at = reached.where(F.col("id") == ids[0]).first()
-    return spark.createDataFrame([(cost, ids)], ddl)
+    end = reached.where(F.col("id") == target).select("hops").first()
+    if end is None:
+        return spark.createDataFrame([], "total_cost double, node_ids array<bigint>")
+    on_path = spark.createDataFrame([(target,)], "id bigint")
+    jump = reached.where("pred is not null").select("id", "pred")
+    step = 1
+    while step <= end["hops"]:
+        before = on_path.join(jump, "id").select(F.col("pred").alias("id"))
+        on_path = checkpointed(on_path.union(before).distinct())
+        step *= 2
+        if step <= end["hops"]:
+            further = jump.select(F.col("id").alias("pred"), F.col("pred").alias("far"))
+            jump = checkpointed(jump.join(further, "pred").select("id", F.col("far").alias("pred")))
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("hops", "id"))), lambda v: v["id"])
+    return reached.join(on_path, "id").agg(F.max("cost").alias("total_cost"), ids.alias("node_ids"))

@@ -37,11 +37,11 @@ def _common(pairs: DataFrame, edges: DataFrame, total: Column, per_neighbour: Co
     fan = edges.select(F.col("src").alias("from_small"), F.col("dst").alias("z"))
     candidates = salted_join(sided, fan, "small", "from_small", hot_keys(sided.select("small"), "small"))
     back = edges.select(F.col("src").alias("large"), F.col("dst").alias("z"))
+    if per_neighbour is not None:  # on the edges, before they are expanded
+        weight = degree.select(F.col("id").alias("weighed"), per_neighbour.alias("w"))
+        back = salted_join(back, weight, "z", "weighed", hot_keys(back.select("z"), "z")).drop("weighed")
     # Edges are distinct, so the keys of the hashed side are unique and spread evenly.
     hits = candidates.select("small", "large", "z").join(back.hint("shuffle_hash"), ["large", "z"])
-    if per_neighbour is not None:
-        weight = degree.select(F.col("id").alias("z"), per_neighbour.alias("w"))
-        hits = hits.join(weight, "z")
     scored = hits.groupBy("small", "large").agg(total.alias("score"))
     return known.join(scored, ["small", "large"], "left")
 

@@ -66,6 +66,18 @@ class PropertyGraph:
         return set().union(*(self.rel_ends[t][1] if t in self.rel_ends else set(self.node_tables) for t in types))
 
 
+class StoredGraph(PropertyGraph):
+    """Node tables by any name; which labels a node has is said by its row, so it may have several."""
+
+    def nodes(self, label: str) -> DataFrame:
+        """Nodes that have a label, with the properties of all the tables they come from."""
+        every = reduce(
+            lambda a, b: a.unionByName(b, allowMissingColumns=True), (opened() for opened in self.node_tables.values())
+        )
+        labels = F.transform("labels", normalised)
+        return every.where(F.array_contains(labels, normalised(F.lit(label))))
+
+
 # Code of each label within a vertex id: vid = key * 8 + code, one to one and kept in 64 bits.
 LABEL_CODES = {"region": 0, "nation": 1, "customer": 2, "supplier": 3, "part": 4, "order": 5}
 PREFIXES = {"region": "r", "nation": "n", "customer": "c", "supplier": "s", "part": "p", "order": "o"}

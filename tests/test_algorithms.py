@@ -177,14 +177,49 @@ def test_negative_weights_are_refused(spark):
         distances(graph, spark.range(1))
 
 
+def test_rank_edges_stay_put(spark):
+    """No round shuffles the cached edges again, whatever the number of shuffle partitions."""
+    import graphloom.plans.article_rank as module
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    plans, real = [], module.checkpointed
+
+    def recorded(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df)
+
+    module.checkpointed = recorded
+    try:
+        for partitions in ("3", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            edges = edges_of(spark, [(i, (i * 7 + k) % 60) for i in range(60) for k in range(1, 4)], "src long, dst long")
+            article_rank(Projection(spark.range(60), edges), max_iterations=2, tolerance=0.0).collect()
+            rounds = [p for p in plans if "InMemoryTableScan" in p]
+            assert rounds
+            for plan in rounds:
+                lines = plan.splitlines()
+                at = next(i for i, line in enumerate(lines) if "InMemoryTableScan" in line)
+                above = lines[:at][::-1]
+                joined = next(i for i, line in enumerate(above) if "Join" in line)
+                assert not any("Exchange" in line for line in above[:joined])
+            plans.clear()
+    finally:
+        module.checkpointed = real
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_salted_join_equals_plain_join(spark):
     rng = random.Random(11)
     left = spark.createDataFrame(
         [(7 if rng.random() < 0.5 else rng.randrange(3000), i) for i in range(6000)], "k long, v long"
     )
     right = spark.range(0, 2900).select(F.col("id").alias("rk"), (F.col("id") * 2).alias("w"))
-    hot = hot_keys(left, "k")
-    assert [r["k"] for r in hot.collect()] == [7]
+    hot = hot_keys(left, "k", rows_per_task=100)
+    assert [(r["k"], r["salts"] > 20) for r in hot.collect()] == [(7, True)] and hot_keys(left, "k").isEmpty()
     plain = left.join(right, F.col("k") == F.col("rk"))
     salted = salted_join(left, right, "k", "rk", hot)
     assert salted.columns == plain.columns
@@ -196,7 +231,7 @@ def test_hot_key_rows_are_spread(spark):
     try:
         left = spark.range(20000).select(F.lit(1).cast("long").alias("k"), "id")
         right = spark.range(5).select(F.col("id").alias("rk"))
-        joined = salted_join(left, right, "k", "rk", hot_keys(left, "k"))
+        joined = salted_join(left, right, "k", "rk", hot_keys(left, "k", rows_per_task=500))
         sizes = [n for n in joined.select(F.spark_partition_id().alias("p")).groupBy("p").count().toPandas()["count"]]
         assert sum(sizes) == 20000
         plan = joined._jdf.queryExecution().executedPlan().toString()
