@@ -44,20 +44,29 @@ def saturate_long(value: Column) -> Column:
 def signed_from_bytes(col: Column) -> tuple[Column, Column]:
     """Big-endian two's complement bytes as decimal(38,0), and a message where it does not fit.
 
-    Up to 8 bytes are read as one signed number, the usual case and a short expression. More are
-    held by a lambda variable, sign-extended to 16 bytes and read as a signed high half and an
-    unsigned low half; leading bytes beyond 16 may only repeat the sign.
+    Up to 8 bytes are read as one signed number and up to 16 as a signed high and an unsigned low
+    half, both short expressions that compile. More are held by a lambda variable; their leading bytes
+    may only repeat the sign.
     """
-    digits = F.hex(col)
-    short = F.conv(F.lpad(digits, 16, _sign(digits)), 16, -10).cast("decimal(38,0)")
+    size = F.length(col)
+    low = F.conv(F.hex(F.substring(col, size - 7, F.lit(8))), 16, 10).cast("decimal(20,0)")
+    high = _signed(F.substring(col, F.lit(1), size - 8)).cast("decimal(20,0)")
+    halves = F.try_add((high * F.lit(TWO_POW_64).cast("decimal(20,0)")).try_cast("decimal(38,0)"), low)
     value = (
-        F.when(F.length(col) == 0, F.lit(None).cast("decimal(38,0)"))
-        .when(F.length(col) <= 8, short)
-        .otherwise(F.get(F.transform(F.array(digits), _wide_number), F.lit(0)))
+        F.when(size == 0, F.lit(None).cast("decimal(38,0)"))
+        .when(size <= 8, _signed(col).cast("decimal(38,0)"))
+        .when(size <= 16, halves.try_cast("decimal(38,0)"))
+        .otherwise(F.get(F.transform(F.array(F.hex(col)), _wide_number), F.lit(0)))
     )
     return value, F.lit("The integer needs more than 38 digits")
 
 
+def _signed(col: Column) -> Column:
+    """Up to 8 bytes as the text of a signed number."""
+    digits = F.hex(col)
+    return F.conv(F.lpad(digits, 16, _sign(digits)), 16, -10)
+
+
 def _sign(digits: Column) -> Column:
     return F.when(digits >= "8", "F").otherwise("0")
 
