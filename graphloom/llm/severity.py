@@ -25,14 +25,16 @@ SAMPLE = 6_000
 HASHES = 1 << 22
 #: Features at most, and sampled texts that a feature must be in.
 FEATURES, SUPPORT = 4_096, 4
+#: Deviations by which a feature must be more frequent in abusive texts.
+DEVIATIONS = 5.0
 #: Lengths of the beginnings of words that are features, in bytes of UTF-8 (marked by a trailing star).
 BEGINNINGS = (4, 5, 6, 7)
 #: A text of at least so many marked words has the grade after that place: 1, 2, 3.
 GRADES = (0, 3, 8)
 #: Expected severity from which a text counts as abusive.
-ABUSIVE = 0.5
+ABUSIVE = 0.4
 #: Strength of the L1 penalty, and rounds of proximal gradient descent.
-PENALTY, ROUNDS = 2e-4, 400
+PENALTY, ROUNDS = 5e-5, 400
 #: Words whose features are remembered while texts are scored.
 MEMORY = 500_000
 
@@ -104,12 +106,16 @@ def fit(texts: list[str | None], abusive: list[int]) -> Severity:
     n_marked = np.array([marked[w].sum() for w in words])
     grades = np.where(labels > 0, np.searchsorted(GRADES, n_marked, side="right"), 0).astype(np.int64)
     usable = np.flatnonzero(seen >= SUPPORT)
-    # how far the share of abusive texts that have the feature lies above that of all texts
-    gain = (inside[usable] - (labels.mean() if len(labels) else 0.0) * seen[usable]) / np.sqrt(seen[usable])
+    # how many deviations more abusive texts have the feature than if it stood in texts of either label alike
+    share = labels.mean() if len(labels) else 0.0
+    gain = (inside[usable] - share * seen[usable]) / np.sqrt(seen[usable] * max(share * (1 - share), 1e-9))
+    usable, gain = usable[gain >= DEVIATIONS], gain[gain >= DEVIATIONS]
     chosen = np.sort(usable[np.lexsort((usable, -gain))[:FEATURES]])
+    if not len(chosen):  # nothing to tell texts apart by: none is abusive
+        return Severity({}, np.zeros(0), np.full(len(GRADES), np.inf))
     columns = [np.searchsorted(chosen, p[np.isin(p, chosen)]) for p in present]
     row = np.repeat(np.arange(len(columns)), [len(c) for c in columns])
-    column = np.concatenate(columns) if columns else np.zeros(0, np.int64)
+    column = np.concatenate(columns)
     weights, thresholds = _descend(row, column, np.clip(grades, 0, len(GRADES)), len(chosen))
     return Severity({int(f): i for i, f in enumerate(chosen)}, weights, thresholds)
 
@@ -163,8 +169,8 @@ def severity(docs: DataFrame, labels: DataFrame, model: Severity | None = None)
 
     Reads doc_id and text of ``docs``, doc_id and toxic of ``labels``; other columns are ignored. A null or empty text
     has no features and gets the severity of the thresholds alone. Of labels that repeat a doc_id the worse counts;
-    rows that repeat a doc_id are scored each for itself. Without labels the model has no features, and without
-    documents there are no rows. Returns doc_id, score, p1, p2, p3 (of at least that grade), expected_severity, grade
+    rows that repeat a doc_id are scored each for itself. Without labels, or without a feature that tells them apart, the
+    severity is 0 for all; without documents there are no rows. Returns doc_id, score, p1, p2, p3 (of at least that grade), expected_severity, grade
     (the highest that is more likely reached than not) and toxic.
     """
     docs = docs.select("doc_id", "text")
