@@ -1,7 +1,7 @@
 """Main text of pages by tag-path ratios.
 
 Every text node has the path of tags from the root to it. For each path of a page two ratios are taken over its nodes:
-characters per node, and punctuation marks per node. Ratios are smoothed over the paths that differ by one step at the
+characters outside links per node, and punctuation marks per node. Ratios are smoothed over the paths that differ by one step at the
 end (a paragraph and the heading beside it, a list item and its list), fused by their geometric mean, and paths above a
 threshold between the page's strongest path and the rest are content. Nodes are taken from the smallest element that
 holds most of the content, so that a short heading inside the article stays and a long notice outside it does not.
@@ -72,6 +72,7 @@ class Block:
 
     path: tuple[tuple[int, str], ...]
     text: str
+    linked: int  # characters inside links
 
 
 def _outside(name: str, attrs: str) -> bool:
@@ -104,13 +105,15 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[int, str, bool]] = []  # number, tag, whether it or an element around it is outside
     pieces: list[str] = []
-    number = at = 0
+    number = at = linked = 0
 
     def flush() -> None:
+        nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split())
         pieces.clear()
         if text and not (stack and stack[-1][2]):
-            out.append(Block(tuple((n, t) for n, t, _ in stack if t not in INLINE), text))
+            out.append(Block(tuple((n, t) for n, t, _ in stack if t not in INLINE), text, min(linked, len(text))))
+        linked = 0
 
     def close_to(depth: int) -> None:
         if any(t not in INLINE for _, t, _ in stack[depth:]) or any(o for _, _, o in stack[depth:]):
@@ -118,8 +121,11 @@ def blocks(page: str) -> list[Block]:
         del stack[depth:]
 
     def take(text: str) -> None:
+        nonlocal linked
         if text and not (stack and stack[-1][2]):
             pieces.append(text)
+            if any(t == "a" for _, t, _ in stack):
+                linked += len(text)
 
     while at < len(page):
         found = _TOKEN.search(page, at)
@@ -184,7 +190,7 @@ def content_paths(found: list[Block]) -> set[tuple[str, ...]]:
     for b in found:
         sums = nodes[tuple(t for _, t in b.path)]
         sums[0] += 1
-        sums[1] += len(b.text)
+        sums[1] += len(b.text) - b.linked
         sums[2] += len(_PUNCTUATION.findall(b.text))
     families: dict[tuple[str, ...], list[tuple[str, ...]]] = defaultdict(list)
     for path in nodes:
