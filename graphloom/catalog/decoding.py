@@ -532,11 +532,11 @@ def decode_list(spark, d):
 
 @query(
     "decode_vector",
-    f"SELECT vec_id, {_HUNDRED}[1] AS first, {_HUNDRED}[64] AS last FROM embeddings",
+    f"SELECT vec_id, array_to_string({_HUNDRED}, ',') AS items FROM embeddings",
 )
 def decode_vector(spark, d):
     got = decode_columns(hundredths(spark, d), ["vec_id"], xs=("xs", coll.vector_of(scalars.long)))
-    return got.select("vec_id", F.get("xs", F.lit(0)).alias("first"), F.get("xs", F.lit(63)).alias("last"))
+    return got.select("vec_id", F.array_join(F.col("xs").cast("array<string>"), ",").alias("items"))
 
 
 @query(

@@ -82,12 +82,15 @@ def encode_temporal(spark, d):
 
 @query(
     "encode_list",
-    """SELECT vec_id, len(embedding)::INTEGER AS n, round(embedding[64]::DOUBLE, 6) AS last, '5,10' AS const_list FROM embeddings""",
+    """SELECT vec_id, array_to_string(list_transform(embedding, lambda x: round(x::DOUBLE * 1000000)::BIGINT), ',') AS items,
+              '5,10' AS const_list FROM embeddings""",
 )
 def encode_list(spark, d):
     made = table(spark, d, "embeddings").select("vec_id", "embedding", encode([5, 10]).alias("const_list"))
     return written_back(spark, made, "list").select(
-        "vec_id", F.size("embedding").alias("n"), F.round(F.get("embedding", F.lit(63)).cast("double"), 6).alias("last"),
+        "vec_id",
+        F.array_join(F.transform("embedding", lambda x: F.round(x.cast("double") * 1000000).cast("bigint").cast("string")), ",")
+        .alias("items"),
         F.array_join(F.col("const_list").cast("array<string>"), ",").alias("const_list"),
     )
 

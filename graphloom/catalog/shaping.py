@@ -141,17 +141,19 @@ def limit_rows(spark, d):
 
 @query(
     "take_pad",
-    """SELECT vec_id, round(embedding[1]::DOUBLE, 6) AS v1, round(embedding[64]::DOUBLE, 6) AS v64,
-              NULL::DOUBLE AS v66, 66 AS n, 3 AS n_short FROM embeddings""",
+    """SELECT vec_id, array_to_string(list_transform(embedding, lambda x: round(x::DOUBLE * 1000000)::BIGINT), ',') ||
+                ',null,null' AS padded,
+              array_to_string(list_transform(embedding[1:3], lambda x: round(x::DOUBLE * 1000000)::BIGINT), ',') AS short
+       FROM embeddings""",
 )
 def take_pad(spark, d):
     vectors = table(spark, d, "embeddings")
     cell = column_of(vectors, "embedding")
     padded, short = coll.take(66)(cell).value, coll.take(3)(cell).value
-    at = lambda xs, i: F.round(F.get(xs, F.lit(i)).cast("double"), 6)
+    millionths = lambda x: F.round(x.cast("double") * 1000000).cast("bigint").cast("string")
+    shown = lambda xs: F.array_join(F.transform(xs, millionths), ",", "null")
     return vectors.select("vec_id", padded.alias("p"), short.alias("s")).select(
-        "vec_id", at(F.col("p"), 0).alias("v1"), at(F.col("p"), 63).alias("v64"), at(F.col("p"), 65).alias("v66"),
-        F.size("p").alias("n"), F.size("s").alias("n_short"),
+        "vec_id", shown("p").alias("padded"), shown("s").alias("short")
     )
 
 

@@ -68,11 +68,19 @@ def stream_chunks(spark, d):
     )
 
 
-@query("stream_with_summary", "SELECT 'events' AS name, count(*) AS records FROM events")
+@query(
+    "stream_with_summary",
+    """SELECT event_type, count(*) AS n, 'events' AS name, (SELECT count(*) FROM events) AS records
+       FROM events GROUP BY event_type""",
+)
 def stream_with_summary(spark, d):
     path = scratch_path(spark, "stream-summary")
     stream = _stream(spark, d, "events").select("event_id", "event_type")
-    return streams.run_with_summary(stream, "events", "records", path, f"{path}-checkpoint")
+    rows, summary = streams.run_with_summary(stream, "events", "records", path, f"{path}-checkpoint")
+    told = summary.first()
+    return rows.groupBy("event_type").agg(
+        F.count("*").alias("n"), F.lit(told["name"]).alias("name"), F.lit(told["records"]).alias("records")
+    )
 
 
 @query("stream_map", "SELECT event_id, upper(event_type) AS type FROM events")

@@ -69,8 +69,10 @@ def void(stream: DataFrame, checkpoint: str, *counters: Column) -> list[tuple]:
     return seen
 
 
-def run_with_summary(stream: DataFrame, name: str, counter: str, path: str, checkpoint: str) -> DataFrame:
-    """Records first, then the summary: the records are in ``path`` when this returns the summary row.
+def run_with_summary(
+    stream: DataFrame, name: str, counter: str, path: str, checkpoint: str
+) -> tuple[DataFrame, DataFrame]:
+    """The records, which are in ``path`` when this returns, and the summary row of the same run.
 
     Each batch stores its own count under its id, so a batch that is run again replaces its count.
     """
@@ -88,7 +90,15 @@ def run_with_summary(stream: DataFrame, name: str, counter: str, path: str, chec
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(counts).agg(F.sum(counter).alias(counter)).select(F.lit(name).alias("name"), counter)
+    summary = spark.read.parquet(counts).agg(F.sum(counter).alias(counter)).select(F.lit(name).alias("name"), counter)
+    return spark.read.schema(stream.schema).parquet(*_batches(spark, path)), summary
+
+
+def _batches(spark: SparkSession, path: str) -> list[str]:
+    """The folders of the batches that have run."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/batch=*")
+    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(root)
+    return [str(s.getPath().toString()) for s in found]
 
 
 def publish(stream: DataFrame, root: str, name: str, checkpoint: str,
