@@ -16,6 +16,7 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,8 @@ from graphloom.llm.common import BROADCAST_ROWS, components, kept_rows, sized_br
 #: probability 0.26 and misses all rows with probability 0.00006.
 K, PICKED, ROWS = 5, 6, 32
 SIMILARITY = 0.8
+#: Members, and strays, of a block in which strays are compared.
+BLOCK = 256
 _SEEDS = np.random.default_rng(2024).integers(1, 1 << 63, size=(ROWS, 2), dtype=np.uint64) | np.uint64(1)
 
 
@@ -121,7 +124,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b, d and linked of the pairs (a, b): d is the number of k-mers of either text outside the alignment.
+    """The links among the pairs (a, b).
 
     Each pair gets both texts by two joins; a text that many pairs share is spread by adaptive skew handling and is
     taken apart once for the pairs of a batch that stand together.
@@ -133,19 +136,51 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         last, kmers = None, np.zeros(0, np.uint64)
         for batch in batches:
             a, b, ta, tb = (batch.column(i) for i in range(4))
-            apart, linked = [], []
+            linked = []
             for i in range(batch.num_rows):
                 if (name := a[i].as_py()) != last:
                     last, kmers = name, labelled_kmers(word_list(ta[i].as_py()))
-                other = labelled_kmers(word_list(tb[i].as_py()))
-                m, n = len(kmers), len(other)
-                # within the band of a link: beyond it, the distance is no smaller than what is given here
-                common = aligned(kmers, other, band_width(m, n))
-                apart.append(m + n - 2 * common)
-                linked.append(is_similar(m, n, common))
-            yield pa.record_batch([a, b, pa.array(apart, pa.int32()), pa.array(linked)], names=["a", "b", "d", "linked"])
+                linked.append(linked_kmers(kmers, labelled_kmers(word_list(tb[i].as_py()))))
+            keep = pa.array(linked, pa.bool_())
+            yield pa.record_batch([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(align, "a binary, b binary, d int, linked boolean")
+    return both.select("a", "b", "ta", "tb").mapInArrow(align, LINKS)
+
+
+LINKS = "a binary, b binary"
+
+
+def linked_kmers(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the alignment of two texts within the band makes them near-duplicates."""
+    m, n = len(a), len(b)
+    return is_similar(m, n, min(m, n)) and is_similar(m, n, aligned(a, b, band_width(m, n)))
+
+
+def compared(block: pd.DataFrame) -> pd.DataFrame:
+    """The links between the members and the strays of a block (v, c, text, stray) that are of different classes.
+
+    The k-mers that two texts share are counted for all members at once; pairs that share enough are aligned.
+    """
+    block = block.drop_duplicates(["v", "stray"])
+    kmers = [labelled_kmers(word_list(t)) for t in block["text"]]
+    names, classes, stray = block["v"].tolist(), block["c"].tolist(), block["stray"].to_numpy(bool)
+    members = np.flatnonzero(~stray)
+    sizes = np.array([len(kmers[i]) for i in members])
+    owner = np.repeat(np.arange(len(members)), sizes)
+    flat = np.concatenate([kmers[i] for i in members]) if len(members) else np.zeros(0, np.uint64)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    found = []
+    for s in np.flatnonzero(stray):
+        low, high = np.searchsorted(flat, kmers[s]), np.searchsorted(flat, kmers[s], side="right")
+        runs = high - low
+        at = np.repeat(low - (np.cumsum(runs) - runs), runs) + np.arange(runs.sum())
+        common = np.bincount(owner[at], minlength=len(members))
+        for j in np.flatnonzero(common >= SIMILARITY * (sizes + len(kmers[s]) - common) - 1e-9):
+            i = members[j]
+            if classes[i] != classes[s] and linked_kmers(kmers[i], kmers[s]):
+                found.append((min(names[i], names[s]), max(names[i], names[s])))
+    return pd.DataFrame(found, columns=["a", "b"])
 
 
 def _lengths_fit(m: Column, n: Column) -> Column:
@@ -168,43 +203,49 @@ def texts_of(docs: DataFrame, sketched: DataFrame, members: DataFrame) -> DataFr
 def links(docs: DataFrame, sketched: DataFrame, texts_seen: DataFrame) -> DataFrame:
     """The links (a, b) between different texts that connect each class of near-duplicates, and no others.
 
-    First every text of a bucket is compared with the bucket's smallest. Texts of one class so far need no further
-    links; all others of a bucket are compared, but for pairs that cannot be similar: the distance d of the alignment
-    obeys the triangle inequality, and both texts' distances to the bucket's smallest are known.
+    The head of a bucket is its text that shares most buckets with most texts. First every text is compared with the
+    heads of its buckets: a group of copies falls together by as many comparisons as it has texts. Texts of the class
+    of their head need no further links; each other text, a stray, is compared with all the texts that share its head.
     """
     buckets = texts_seen.select("v", "n", F.explode("keys").alias("key"))
-    heads = buckets.groupBy("key").agg(F.min(F.struct("v", "n")).alias("h"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    heads = stored(heads.select(F.col("key").alias("hk"), F.col("h.v").alias("a"), F.col("h.n").alias("na")), "heads")
-    shared = stored(buckets.join(heads, F.col("key") == F.col("hk")).drop("hk"), "buckets")
-    star = shared.where((F.col("v") != F.col("a")) & _lengths_fit(F.col("n"), F.col("na"))).select("a", F.col("v").alias("b"))
-    star = stored(star.distinct(), "star")
-    members = stored(star.select(F.col("a").alias("v")).union(shared.select("v")).distinct(), "members")
-    texts = texts_of(docs, sketched, members)
-    tried = stored(verified(star, texts), "tried")
-    first = tried.where("linked").select("a", "b")
-    classes = components(first)
-
-    told = tried.select(F.col("a").alias("ta"), F.col("b").alias("tb"), "d")
-    placed = shared.join(told, (shared.a == told.ta) & (shared.v == told.tb), "left").drop("ta", "tb")
-    far = F.abs(F.col("n") - F.col("na"))  # what the lengths alone say of a pair that was not aligned
-    placed = placed.withColumn("low", F.coalesce("d", far)).withColumn("high", F.coalesce("d", F.col("n") + F.col("na")))
-    same = F.col("v") == F.col("a")
-    placed = placed.withColumn("high", F.when(same, 0).otherwise(F.col("high")))
-    named = classes.select(F.col("v").alias("cv"), "c")
-    placed = placed.join(named, F.col("v") == F.col("cv"), "left").withColumn("c", F.coalesce("c", "v")).drop("cv")
-    placed = stored(placed.select("key", "v", "n", "c", "low", "high"), "placed")
-    mixed = placed.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select(F.col("key").alias("mk"))
-    open_ = stored(placed.join(mixed, F.col("key") == F.col("mk"), "left_semi"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    reach = (F.col("x.n") + F.col("y.n")) * (1 - SIMILARITY) / (1 + SIMILARITY) + 1e-6  # the largest d of a link
-    rest = x.join(y, F.expr("x.key = y.key and x.c < y.c")).where(
-        _lengths_fit(F.col("x.n"), F.col("y.n"))
-        & (F.col("x.low") - F.col("y.high") <= reach) & (F.col("y.low") - F.col("x.high") <= reach)
+    sizes = buckets.groupBy(F.col("key").alias("k")).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = stored(buckets.join(sizes, F.col("key") == F.col("k")).drop("k"), "buckets")
+    weight = shared.groupBy(F.col("v").alias("w_v")).agg(F.sum("size").alias("w"))
+    weighed = shared.join(weight, F.col("v") == F.col("w_v"))
+    head = F.max_by(F.struct(F.col("v").alias("a"), F.col("n").alias("na")), F.struct("w", "v"))
+    heads = stored(weighed.groupBy(F.col("key").alias("hk")).agg(head.alias("h")).select("hk", "h.*"), "heads")
+    met = shared.join(heads, F.col("key") == F.col("hk")).groupBy("a", "v").agg(F.first("na").alias("na"), F.first("n").alias("n"))
+    families = stored(met, "families")
+    star = families.where((F.col("v") != F.col("a")) & _lengths_fit(F.col("n"), F.col("na"))).select("a", F.col("v").alias("b"))
+    texts = texts_of(docs, sketched, shared.select("v").distinct())
+    first = stored(verified(star, texts), "star_links")
+    classes = stored(components(first), "star_classes")
+    second = stored(stray_links(families.select("a", "v"), classes, texts), "stray_links")
+    return first.union(second).distinct()
+
+
+def stray_links(families: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links of the texts (v) that are not in the class of their head (a) to any text of the same head.
+
+    The members and the strays of a head are dealt into blocks by hash, and every block of members meets every block
+    of strays in a task of its own, which gives links only: pairs are no rows, and no task holds a whole group.
+    """
+    of_v = classes.select(F.col("v").alias("cv"), "c")
+    of_a = classes.select(F.col("v").alias("ca"), F.col("c").alias("head_c"))
+    placed = families.join(of_v, F.col("v") == F.col("cv"), "left").join(of_a, F.col("a") == F.col("ca"), "left")
+    placed = placed.select("a", "v", F.coalesce("c", "v").alias("c"), F.coalesce("head_c", "a").alias("head_c"))
+    placed = stored(placed.select("a", "v", "c", (F.col("c") != F.col("head_c")).alias("stray")), "placed")
+    size = placed.groupBy(F.col("a").alias("sa")).agg(F.count(F.lit(1)).alias("all"), F.count_if("stray").alias("strays"))
+    size = size.where("strays > 0").select(
+        "sa", F.ceil(F.col("all") / BLOCK).cast("int").alias("nm"), F.ceil(F.col("strays") / BLOCK).cast("int").alias("ns")
     )
-    rest = rest.select(F.least("x.v", "y.v").alias("a"), F.greatest("x.v", "y.v").alias("b")).distinct()
-    rest = stored(rest.join(star.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-    second = stored(verified(rest, texts), "tried_rest")
-    return first.union(second.where("linked").select("a", "b"))
+    open_ = placed.join(size, F.col("a") == F.col("sa")).withColumn("h", F.xxhash64("v"))
+    member_block, stray_block = F.pmod("h", "nm").cast("int"), F.pmod("h", "ns").cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    members = open_.select("a", "v", "c", F.lit(False).alias("stray"), member_block.alias("m"), every("ns").alias("s"))
+    strays = open_.where("stray").select("a", "v", "c", "stray", every("nm").alias("m"), stray_block.alias("s"))
+    blocks = members.unionByName(strays).join(texts.withColumnRenamed("v", "tv"), F.col("v") == F.col("tv")).drop("tv")
+    return blocks.groupBy("a", "m", "s").applyInPandas(lambda b: compared(b), LINKS)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
