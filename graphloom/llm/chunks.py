@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: A space after white space: the plain cut would divide a run.
 _RUN = re.compile(r"\s ")
 
@@ -28,13 +31,14 @@ def spaced_chunks(text: str) -> list[str]:
     return chunks
 
 
-def by_size(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``limit`` characters; a longer text is a range of its own."""
+def by_size(column: pa.Array, limit: int) -> Iterator[tuple[int, list[str]]]:
+    """The first place and the texts of ranges of about ``limit`` bytes; a longer text is a range of its own."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     start = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > limit:
-            yield start, i
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and size + n > limit:
+            yield start, column.slice(start, i - start).to_pylist()
             start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+        size += n
+    if start < len(column):
+        yield start, column.slice(start).to_pylist()

@@ -9,9 +9,11 @@ Shards are rows of a Parquet table, which any executor can write and read and wh
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,11 @@ MAGIC = b"S8BW"
 HEADER = struct.Struct("<4sIqqqq")  # magic, block length, documents, ids, escapes, words
 BLOCK = 1024
 #: Characters that are encoded at a time, ids of a shard, and chunks whose ids are remembered.
-SLICE_CHARS, SHARD_IDS, MEMORY = 1_000_000, 1 << 20, 400_000
+SLICE_CHARS, SHARD_IDS, MEMORY = 1_000_000, 1 << 20, 600_000
+#: New chunks that are encoded as one text, and such texts at a time.
+TOGETHER, AT_ONCE = 1000, 20
+#: Fixed value of the tokenizer files: how a space is written in a token.
+SPACE = "Ġ"
 
 
 def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -141,29 +147,64 @@ def read_shard(shard: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return doc_ids, ends, unpack(words, offsets, escapes, n_ids, block)
 
 
+@lru_cache(maxsize=1)
+def shared_encoder(path: str) -> ChunkEncoder:
+    """The encoder of this Python process, which goes on from task to task."""
+    return ChunkEncoder(path)
+
+
 class ChunkEncoder:
     """Encodes texts with a tokenizer whose tokens never reach over a space that follows a word.
 
-    The ids of a chunk are remembered; the memory starts anew when it is full.
+    The ids of a chunk are remembered until the memory is full; chunks that are new then are encoded each time.
     """
 
     def __init__(self, path: str, memory: int = MEMORY):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for each core
         from tokenizers import Tokenizer
 
         self.tokenizer, self.memory = Tokenizer.from_file(path), memory
-        self.clear()
-
-    def clear(self) -> None:
+        names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
+        self.spaced = np.array([bool(t) and t.startswith(SPACE) for t in names])
+        self.new_flat: list[np.ndarray] = []
+        self.new_sizes: list[np.ndarray] = []
         self.number: dict[str | tuple[str], int] = {}
         self.flat, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def learn(self, keys: list[str | tuple[str]]) -> None:
-        texts = [k[0] if isinstance(k, tuple) else f" {k}" for k in keys]
-        new = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, new), np.int64, len(new))
-        flat = np.fromiter((i for ids in new for i in ids), np.uint32, int(sizes.sum()))
+        """Encode new chunks, those without a space many at a time: each begins at a token that has its space."""
+        plain = [k for k in keys if k.__class__ is str and k and " " not in k]
+        rest = list(set(keys).difference(plain)) if len(plain) < len(keys) else []
+        for a in range(0, len(plain), AT_ONCE * TOGETHER):
+            groups = [plain[i : i + TOGETHER] for i in range(a, min(a + AT_ONCE * TOGETHER, len(plain)), TOGETHER)]
+            for group, found in zip(groups, self._ids([f" {' '.join(g)}" for g in groups])):
+                begins = np.flatnonzero(self.spaced[found])
+                if len(begins) == len(group):
+                    self._keep(group, found, np.diff(begins, append=len(found)))
+                else:
+                    rest += group
+        for a in range(0, len(rest), TOGETHER):
+            group = rest[a : a + TOGETHER]
+            found = self._ids([k[0] if isinstance(k, tuple) else f" {k}" for k in group])
+            self._keep(group, np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found)))
+        self.flat = np.concatenate([self.flat, *self.new_flat])
+        self.sizes = np.concatenate([self.sizes, *self.new_sizes])
+        self.new_flat, self.new_sizes = [], []
+
+    def forget(self, keys: Iterable[str | tuple[str]]) -> None:
+        """Forget the chunks that were learnt last."""
+        for k in keys:
+            del self.number[k]
+        self.sizes = self.sizes[: len(self.number)].copy()
+        self.flat = self.flat[: int(self.sizes.sum())].copy()
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _keep(self, keys: list[str | tuple[str]], flat: np.ndarray, sizes: np.ndarray) -> None:
         self.number.update(zip(keys, range(len(self.number), len(self.number) + len(keys))))
-        self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
+        self.new_flat.append(flat)
+        self.new_sizes.append(sizes)
 
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each closed by ``end``, and the number of ids of each text."""
@@ -175,9 +216,6 @@ class ChunkEncoder:
             keys += chunks
             counts[i] = len(chunks)
         new = set(keys).difference(self.number)
-        if new and len(new) + len(self.number) > self.memory and self.number:
-            self.clear()
-            new = set(keys)
         if new:
             self.learn(list(new))
         which = np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))
@@ -189,6 +227,8 @@ class ChunkEncoder:
         take = np.repeat(first[which] - (after - sizes), sizes) + np.arange(after[-1] if len(after) else 0)
         out = np.full(len(take) + len(texts), end, np.uint32)
         out[np.arange(len(take)) + np.repeat(text_of, sizes)] = self.flat[take]
+        if len(self.number) > self.memory:
+            self.forget(new)
         total = np.append(0, after)[last]
         return out, np.diff(total, prepend=0) + 1
 
@@ -209,7 +249,7 @@ def encode_shards(docs: DataFrame, path: str, end: int = 0) -> DataFrame:
     rows = rows.repartitionByRange(parts, F.col("doc_id"), tie).sortWithinPartitions(F.col("doc_id"), tie, F.col("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, number = ChunkEncoder(path), TaskContext.get().partitionId(), 0
+        encoder, part, number = shared_encoder(path), TaskContext.get().partitionId(), 0
         names: list[int | None] = []
         sizes: list[np.ndarray] = []
         ids: list[np.ndarray] = []
@@ -223,10 +263,9 @@ def encode_shards(docs: DataFrame, path: str, end: int = 0) -> DataFrame:
             )
 
         for batch in batches:
-            who, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in by_size(texts, SLICE_CHARS):
-                flat, n = encoder.encode(texts[a:b], end)
-                names += who[a:b]
+            for a, texts in by_size(batch.column(1), SLICE_CHARS):
+                flat, n = encoder.encode(texts, end)
+                names += batch.column(0).slice(a, len(texts)).to_pylist()
                 sizes.append(n)
                 ids.append(flat)
                 if sum(map(len, ids)) >= SHARD_IDS:

@@ -129,6 +129,14 @@ def load_pieces(path: str) -> Pieces:
     return build_trie(Pieces([model.id_to_piece(i) for i in ids], np.log(weights / total), np.array(kinds)))
 
 
+def marked_chunks(text: str) -> list[str]:
+    """The chunks of a text, each of which follows a mark: that of its space, or the one put before the text."""
+    chunks = spaced_chunks(text) if text else []
+    if len(chunks) > 1 and not chunks[0]:  # the text begins with a space, so two marks stand together
+        chunks[:2] = [f" {chunks[1]}"]
+    return chunks
+
+
 class Viterbi:
     """The best-scored pieces of chunks. Of equal scores the one found from the earliest start stays."""
 
@@ -219,7 +227,7 @@ class Viterbi:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text. A mark that stands in the text itself goes through byte fallback."""
-        split = [spaced_chunks(t) if t else [] for t in texts]
+        split = [marked_chunks(t) for t in texts]
         new = {c for chunks in split for c in chunks}.difference(self.known)
         if new and len(new) + len(self.known) > self.memory:
             self.known.clear()
@@ -275,14 +283,13 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
         pieces = shared.value
         viterbi, table, is_byte = Viterbi(pieces), decoder(pieces), pieces.kinds == BYTE
         for batch in batches:
-            who, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in by_size(texts, SLICE_CHARS):
-                ids = viterbi.encode(texts[a:b])
+            for a, texts in by_size(batch.column(1), SLICE_CHARS):
+                ids = viterbi.encode(texts)
                 ends = np.cumsum([0, *map(len, ids)])
-                same = [decode(i.tolist(), table) == t for i, t in zip(ids, texts[a:b])]
+                same = [decode(i.tolist(), table) == t for i, t in zip(ids, texts)]
                 yield pa.record_batch(
                     [
-                        pa.array(who[a:b], pa.int64()),
+                        batch.column(0).slice(a, len(texts)),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids))),
                         pa.array(np.diff(ends), pa.int64()),
                         pa.array([int(is_byte[i].sum()) for i in ids], pa.int64()),
@@ -292,4 +299,5 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
                     names=["doc_id", "ids", "n_tokens", "n_bytes", "ids_crc32", "round_trip"],
                 )
 
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(encode, ENCODED)
+    texts = F.coalesce("text", F.lit("")).alias("text")
+    return docs.select(F.col("doc_id").cast("long"), texts).mapInArrow(encode, ENCODED)
