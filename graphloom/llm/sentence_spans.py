@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.chunks import by_size
-from graphloom.llm.common import BROADCAST_ROWS, sized_broadcast, stored, word_list
+from graphloom.llm.common import BROADCAST_ROWS, stored, word_list
 
 #: Units and words of a span at least, and words of a unit at most.
 SPAN_UNITS, SPAN_WORDS, UNIT_WORDS = 3, 15, 12
@@ -84,9 +84,8 @@ def span_table(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for a, b in by_size(texts, SLICE_CHARS):
-                row, first, last, hashes = spans([units(t) for t in texts[a:b]])
+            for a, texts in by_size(batch.column(2), SLICE_CHARS):
+                row, first, last, hashes = spans([units(t) for t in texts])
                 row, hashes = pa.array(row + a), hashes.view(np.int64)
                 yield pa.record_batch(
                     [
@@ -103,13 +102,14 @@ def repeated_units(docs: DataFrame) -> DataFrame:
     """doc_id, text_key and the sorted first and last units of every span that stands at an earlier place as well.
 
     Occurrences are counted, and the first is found, before the shuffle, so a span that a third of all texts hold is
-    one row of each task. The first is that of the smallest doc_id (null before all), then text_key, then unit.
+    one row of each task. The first is that of the smallest doc_id (null before all), then text_key, then unit. Repeated
+    spans grow with the texts, so they are joined by shuffling both sides at any size.
     """
     found = stored(span_table(docs), "spans")
     where = F.struct("doc_id", "text_key", "first")
     whole = found.groupBy("h1", "h2").agg(F.min(where).alias("origin"), F.count(F.lit(1)).alias("n")).where("n > 1")
     whole = stored(whole.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "origin"), "repeated_spans")
-    met = found.join(sized_broadcast(whole), (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")))
+    met = found.join(whole, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")))
     later = met.where(~where.eqNullSafe(F.col("origin")))
     runs = F.collect_set(F.struct("first", "last"))
     return later.groupBy("doc_id", "text_key").agg(F.array_sort(runs).alias("runs"))
