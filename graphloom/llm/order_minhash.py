@@ -2,8 +2,9 @@
 
 The k-mers of a text are its runs of five words, each labelled with how often it stood before in the text, so that
 repeats count. A sketch row takes the few k-mers with the smallest hashes under one seed and keeps them in the order
-of the text; texts that agree in a row are candidates. Candidates are verified by an alignment of their labelled
-k-mers within a band. A label occurs once in a text, so the alignment is a longest increasing run of places.
+of the text; texts that agree in a row are candidates. Texts of few k-mers are candidates where they share a k-mer of their
+prefixes, which loses none of them. Candidates are verified by an alignment of their labelled k-mers within a band. A
+label occurs once in a text, so the alignment is a longest increasing run of places.
 
 The similarity of two texts with m and n k-mers is L / (m + n - L), where L is the length of the longest sequence of
 labelled k-mers that both have in the same order; texts are near-duplicates from 0.8 on. Such texts differ by at most
@@ -24,10 +25,12 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.common import BROADCAST_ROWS, components, kept_rows, sized_broadcast, stored, word_list
 
-#: Words of a k-mer, k-mers of a sketch row, rows of a sketch. A pair of similarity 0.8 agrees in a row with
-#: probability 0.26 and misses all rows with probability 0.00006.
+#: Words of a k-mer, k-mers of a sketch row, rows of a sketch. A pair of similarity 0.8 of long texts agrees in a row
+#: with probability 0.26 and misses all rows with probability 0.00006 (texts of little more than SHORT k-mers: 0.00012).
 K, PICKED, ROWS = 5, 6, 32
 SIMILARITY = 0.8
+#: A text of at most so many k-mers has every text that is near to it as a candidate.
+SHORT = 50
 #: Members, and strays, of a block in which strays are compared.
 BLOCK = 256
 _SEEDS = np.random.default_rng(2024).integers(1, 1 << 63, size=(ROWS, 2), dtype=np.uint64) | np.uint64(1)
@@ -75,6 +78,25 @@ def sketch(kmers: np.ndarray, picked: int = PICKED) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def prefix(kmers: np.ndarray) -> np.ndarray:
+    """The k-mers with the smallest hashes, as many as make two near-duplicates share one, as signed 64-bit keys.
+
+    Two near-duplicates share L >= 0.8 * max(m, n) k-mers in one order. Of its n k-mers a text has at most n - ceil(0.8 * n)
+    others, so the smallest of the shared ones is among the first n - ceil(0.8 * n) + 1 of either text.
+    """
+    return np.sort(kmers)[: band_width(len(kmers), len(kmers)) + 1].view(np.int64)
+
+
+def bucket_keys(kmers: np.ndarray) -> np.ndarray:
+    """The keys of a text: its prefix if it or a text near to it is short, its sketch if it is not short."""
+    keys = []
+    if SIMILARITY * len(kmers) <= SHORT + 1e-9:
+        keys.append(prefix(kmers))
+    if len(kmers) > SHORT:
+        keys.append(sketch(kmers))
+    return np.concatenate(keys)
+
+
 def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """The length of the longest sequence of labelled k-mers in the order of both texts, at most ``band`` places apart."""
     _, at, to = np.intersect1d(a, b, assume_unique=True, return_indices=True)
@@ -103,7 +125,7 @@ SKETCHED = "doc_id long, text_key long, v binary, n int, keys array<long>"
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, v (names the sequence of words; null: no words), n (k-mers) and sketch keys of each row."""
+    """doc_id, text_key, v (names the sequence of words; null: no words), n (k-mers) and bucket keys of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,7 +135,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 kmers = labelled_kmers(ws)
                 names.append(xxhash.xxh3_128_digest(b" ".join(ws)) if ws else None)
                 numbers.append(len(kmers))
-                keys.append(sketch(kmers).tolist() if ws else [])
+                keys.append(bucket_keys(kmers).tolist() if ws else [])
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), pa.array(names, pa.binary()), pa.array(numbers, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
                 names=["doc_id", "text_key", "v", "n", "keys"],

@@ -93,6 +93,23 @@ def test_large_group_and_strays(spark):
     assert got == classes_by_hand(rows)
 
 
+def test_short_texts_are_candidates(spark):
+    """Every truncation, at either end, of texts of 5 to 30 words, and of some around the bound of short texts."""
+    rows = []
+    for n in (*range(5, 31), 50, 54, 55, 60, 66):
+        words = [f"t{n}x{i}" for i in range(n)]
+        cuts = [words[a : n - b] for a in range(n // 5 + 2) for b in range(n // 5 + 2 - a)]
+        kmers = [order_minhash.labelled_kmers([w.encode() for w in c]) for c in cuts]
+        for x, y in itertools.combinations(kmers, 2):
+            if order_minhash.linked_kmers(x, y) and min(len(x), len(y)) <= order_minhash.SHORT:
+                assert np.isin(order_minhash.bucket_keys(x), order_minhash.bucket_keys(y)).any()
+        rows += [(1000 * n + i, " ".join(c)) for i, c in enumerate(cuts)]
+    rows += [(1, "a b c d e f g h"), (2, "a b c d e f g h i"), (3, "k l m n o p q r s"), (4, "j k l m n o p q r s")]
+    got = order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {r.doc_id: r.class_id for r in got}
+    assert got == classes_by_hand(rows) and got[2] == 1 and got[4] == 3
+
+
 def test_near_edges(edge_docs, empty_docs):
     got = order_minhash.near_duplicates(edge_docs).collect()
     by_id = {r.doc_id: r for r in got if r.doc_id is not None}
