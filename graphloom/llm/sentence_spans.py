@@ -1,6 +1,8 @@
 """Repeated passages removed by sliding sentence spans.
 
-A text is cut into units: sentences, and of a sentence of more than ``UNIT_WORDS`` words its pieces of that many words.
+A text is cut into units: sentences, and within a sentence before each word whose hash is the smallest of the words up
+to ``REACH`` places before and behind it. Such a place depends on these words alone, so a passage is cut alike whatever
+stands around it, but for its first and last few words. A character of a script without spaces is a word.
 A span is a run of at least ``SPAN_UNITS`` units and ``SPAN_WORDS`` words. Every shortest span that begins at a unit,
 and every shortest span that ends at one, is hashed from its words; spans are counted over all texts, and the units of
 each occurrence but the first are removed.
@@ -20,27 +22,60 @@ from pyspark.sql import functions as F
 from graphloom.llm.chunks import by_size
 from graphloom.llm.common import BROADCAST_ROWS, stored, word_list
 
-#: Units and words of a span at least, and words of a unit at most.
-SPAN_UNITS, SPAN_WORDS, UNIT_WORDS = 3, 15, 12
-#: A sentence ends behind its last full stop, question or exclamation mark before white space, or at a line's end.
+#: Units and words of a span at least.
+SPAN_UNITS, SPAN_WORDS = 3, 15
+#: Places before and behind a word among which its hash is the smallest where a unit begins.
+REACH = 4
 SLICE_CHARS = 1_000_000
-_SENTENCE = re.compile(r"[^\n]*?(?:[.!?]+(?=\s)|\n|$)\s*")
-_PIECE = re.compile(r"\S+\s*")
-
-
-def units(text: str | None) -> list[str]:
-    """The units of a text; joined they are the text."""
+#: Words whose hashes are remembered.
+MEMORY = 200_000
+#: A sentence ends behind its last full stop, question or exclamation mark before white space, behind a full-width one,
+#: or at a line's end.
+_SENTENCE = re.compile(r"[^\n]*?(?:[.!?]+(?=\s)|(?:[。！？｡]|．(?!\d))+[.!?。！？｡」』”’）]*|\n|$)\s*")
+#: Thai to Tibetan, Myanmar, Khmer, kana and the ideographs.
+_UNSPACED_SET = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_UNSPACED = re.compile(f"[{_UNSPACED_SET}]")
+_PIECE = re.compile(f"[{_UNSPACED_SET}]\\s*|[^\\s{_UNSPACED_SET}]+\\s*")
+
+
+def unit_words(unit: str) -> list[bytes]:
+    """The words of a unit; a character of a script without spaces is one."""
+    return word_list(unit if unit.isascii() else _UNSPACED.sub(r" \g<0> ", unit))
+
+
+def _hash(piece: str, known: dict[str, int]) -> int:
+    found = known.get(piece)
+    if found is None:
+        if len(known) >= MEMORY:
+            known.clear()
+        ws = word_list(piece)
+        found = known[piece] = xxhash.xxh3_64_intdigest(b" ".join(ws)) if ws else -1
+    return found
+
+
+def units(text: str | None, known: dict[str, int] | None = None) -> list[str]:
+    """The units of a text; joined they are the text. Of equal smallest hashes those more than REACH apart cut."""
+    known = {} if known is None else known
     out: list[str] = []
     for sentence in _SENTENCE.findall(text or ""):
-        if sentence.count(" ") < UNIT_WORDS and len(sentence) < 8 * UNIT_WORDS:
+        parts = _PIECE.findall(sentence)
+        if len(parts) <= 2 * REACH:
             if sentence:
                 out.append(sentence)
             continue
-        parts = _PIECE.findall(sentence)
         lead = len(sentence) - sum(map(len, parts))
-        for i in range(0, max(len(parts), 1), UNIT_WORDS):
-            piece = "".join(parts[i : i + UNIT_WORDS])
-            out.append(sentence[:lead] + piece if i == 0 else piece)
+        found = [_hash(p, known) for p in parts]
+        starts = [i for i, x in enumerate(found) if x >= 0]  # a piece without words belongs to the one before
+        h = [found[i] for i in starts]
+        last, cuts = -REACH, [0]
+        for i in range(REACH, len(h) - REACH):
+            if i - last > REACH and h[i] == min(h[i - REACH : i + REACH + 1]):
+                cuts.append(starts[i])
+                last = i
+        cuts.append(len(parts))
+        cut = ["".join(parts[a:b]) for a, b in zip(cuts, cuts[1:])]
+        cut[0] = sentence[:lead] + cut[0]
+        out += cut
     return out
 
 
@@ -49,7 +84,7 @@ def spans(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 
     Units without words do not count.
     """
-    words = [word_list(u) for parts in texts for u in parts]
+    words = [unit_words(u) for parts in texts for u in parts]
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     owner = np.repeat(np.arange(len(texts)), sizes)
     place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -83,9 +118,10 @@ def span_table(docs: DataFrame) -> DataFrame:
     """Every span of every text. A row of the table is named by its doc_id and the hash of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
         for batch in batches:
             for a, texts in by_size(batch.column(2), SLICE_CHARS):
-                row, first, last, hashes = spans([units(t) for t in texts])
+                row, first, last, hashes = spans([units(t, known) for t in texts])
                 row, hashes = pa.array(row + a), hashes.view(np.int64)
                 yield pa.record_batch(
                     [
@@ -140,10 +176,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         whole = docs.join(keys, same, "left_anti")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
         for batch in batches:
             texts, removed, sizes = [], [], []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                parts = units(text)
+                parts = units(text, known)
                 gone = np.zeros(len(parts) + 1, np.int64)
                 np.add.at(gone, [r["first"] for r in found], 1)
                 np.add.at(gone, [r["last"] + 1 for r in found], -1)

@@ -103,6 +103,26 @@ def test_passage_of_one_sentence(spark):
     assert "Other words." in got[2].text and "Last line." in got[2].text and "So it is." in got[3].text
 
 
+def test_glued_passage(spark):
+    """A passage behind and before other words of the same sentence loses all but its ends; so do unspaced scripts."""
+    passage = [f"w{i}" for i in range(55)]
+    glued = [" ".join([f"g{n}x{i}" for i in range(n)] + passage + [f"z{n}x{i}" for i in range(n % 4)]) for n in range(14)]
+    signs = random.Random(5).sample([chr(c) for c in range(0x4E00, 0x9000)], 80)
+    glued += ["".join(chr(0x9000 + 20 * n + i) for i in range(n)) + "".join(signs) for n in range(14)]
+    rows = [(100 + i, t) for i, t in enumerate(glued)]
+    got = {r.doc_id: r.text for r in sentence_spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[100] == glued[0] and got[114] == glued[14]
+    for i in range(1, 14):
+        left, signs_left = set(got[100 + i].split()), set(got[114 + i])
+        assert len(left & set(passage)) <= 25 and f"g{i}x0" in left, i
+        assert len(signs_left & set(signs)) <= 40 and chr(0x9000 + 20 * i) in signs_left, i
+
+
+def test_full_width_sentence_ends():
+    assert sentence_spans.units("これは本。あれは「犬！」猫？\nๆ") == ["これは本。", "あれは「犬！」", "猫？\n", "ๆ"]
+    assert sentence_spans.unit_words("本x y") == ["本".encode(), b"x", b"y"]
+
+
 def test_spans_edges(edge_docs, empty_docs):
     got = sentence_spans.remove_repeats(edge_docs).collect()
     assert len(got) == edge_docs.count()
