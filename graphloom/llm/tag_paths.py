@@ -2,9 +2,10 @@
 
 Every text node has the path of tags from the root to it. For each path of a page two ratios are taken over its nodes:
 characters outside links per node, and punctuation marks per node. Ratios are smoothed over the paths that differ by one step at the
-end (a paragraph and the heading beside it, a list item and its list), fused by their geometric mean, and paths above a
-threshold between the page's strongest path and the rest are content. Nodes are taken from the smallest element that
-holds most of the content, so that a short heading inside the article stays and a long notice outside it does not.
+end (a paragraph and the heading beside it, a list item and its list), fused by their geometric mean, with a bonus inside
+article and main, and paths above a threshold between the page's strongest path and the rest are content. Of the smallest
+element that holds most of the content, the content is taken with all that stands between it, so that a short heading
+inside the article stays and a long notice outside it does not.
 Elements that by their tag, role or class are menus, headers, footers, sidebars, notices, adverts, forms or reader
 comments have no paths.
 """
@@ -64,6 +65,8 @@ _STATE = re.compile(r"(?:has|with|no|without|is|not)[-_]", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：¡¿»«„“”]")
 #: The share of the strongest path's fused ratio from which a path is content.
 THRESHOLD = 0.1
+#: By how much more a path inside article or main counts.
+BONUS = 12.0
 
 
 @dataclass
@@ -205,8 +208,7 @@ def content_paths(found: list[Block]) -> set[tuple[str, ...]]:
             own = nodes[path][k] / nodes[path][0]
             around = sum(nodes[p][k] for p in near) / max(1, sum(nodes[p][0] for p in near))
             ratios.append(0.5 * own + 0.5 * around if near else own)
-        # the weight of the path on the page: a long article counts more than one long notice
-        fused[path] = ((1 + ratios[0]) * (1 + ratios[1])) ** 0.5 * (1 + nodes[path][1]) ** 0.5
+        fused[path] = ((1 + ratios[0]) * (1 + ratios[1])) ** 0.5 * (BONUS if "article" in path or "main" in path else 1)
     limit = THRESHOLD * max(fused.values(), default=0)
     return {p for p, x in fused.items() if x >= limit}
 
@@ -221,13 +223,14 @@ def main_text(page: str | None) -> str:
             for depth in range(len(b.path) + 1):
                 weight[b.path[:depth]] += len(b.text)
     whole = weight.get((), 0)
-    named = [p for p, w in weight.items() if p and p[-1][1] in ("article", "main") and 2 * w >= whole]
-    holders = named or [p for p, w in weight.items() if 10 * w >= 9 * whole and (not p or p[-1][1] not in ("p", "li", "td"))]
+    holders = [p for p, w in weight.items() if 10 * w >= 9 * whole and (not p or p[-1][1] not in ("p", "li", "td"))]
     holder = max(holders, key=len, default=())
     inside = [b for b in found if b.path[: len(holder)] == holder]
-    if not named:
-        inside = [b for b in inside if tuple(t for _, t in b.path) in paths]
-    return "\n".join(b.text for b in inside)
+    content = [i for i, b in enumerate(inside) if tuple(t for _, t in b.path) in paths]
+    first, last = min(content, default=0), max(content, default=-1)
+    own = bool(holder) and holder[-1][1] not in ("body", "html")  # then what is before and behind is of the article too
+    kept = [b for i, b in enumerate(inside) if first <= i <= last or own and 2 * b.linked < len(b.text)]
+    return "\n".join(b.text for b in kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -56,6 +56,14 @@ def test_main_text(page, text):
     assert tag_paths.main_text(page) == text
 
 
+@pytest.mark.parametrize("second", ["article", "section"])
+@pytest.mark.parametrize("n", [4, 6, 10])
+def test_several_articles(n, second):
+    one, two = ("".join(f"<p>{k} part {i}, with some words, and more.</p>" for i in range(m)) for k, m in (("a", 6), ("b", n)))
+    page = f"<body><main><article>{one}</article><{second}>{two}</{second}></main><div>Short line</div></body>"
+    assert tag_paths.main_text(page).count(" part ") == 6 + n and "Short line" not in tag_paths.main_text(page)
+
+
 def test_long_page_and_empty_table(spark):
     page = "<article>" + "<p>word, and more.</p>" * 50_000 + "</article>"
     df = spark.createDataFrame([(1, None, page), (1, "u", page), (None, "u", None)], "page_id long, url string, html string")
