@@ -56,6 +56,20 @@ def test_main_text(page, text):
     assert tag_paths.main_text(page) == text
 
 
+@pytest.mark.parametrize("wrap", ["<div>%s</div>", "<article>%s</article>", "<main>%s</main>"])
+@pytest.mark.parametrize("n", [5, 20, 100, 300])
+def test_article_of_any_length(n, wrap):
+    p = "Some words, and more of them. " * 13
+    parts = ["<h1>The title of it</h1>", "<ul><li>one<li>two<li>three<li>four</ul>", "<blockquote>A quote of it</blockquote>"]
+    third = n // 3
+    body = parts[0] + f"<p>{p}</p>" * third + "<h2>Part two</h2>" + f"<p>{p}</p>" * third + parts[1] + parts[2]
+    body += "<h2>Part three</h2>" + f"<p>{p}</p>" * (n - 2 * third) + "<h2>Last</h2><ul><li>end one<li>end two</ul>"
+    page = "<body><div><a href=/a>Home</a> <a href=/b>News</a></div>" + wrap % body + "<div>Short line</div></body>"
+    got = tag_paths.main_text(page).split("\n")
+    want = ["The title of it", "Part two", "one", "two", "three", "four", "A quote of it", "Part three", "Last", "end one", "end two"]
+    assert [t for t in got if t != p.strip()] == want and got.count(p.strip()) == n
+
+
 @pytest.mark.parametrize("second", ["article", "section"])
 @pytest.mark.parametrize("n", [4, 6, 10])
 def test_several_articles(n, second):
