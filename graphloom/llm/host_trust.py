@@ -8,18 +8,21 @@ if its host's distrust exceeds its trust by more than a threshold.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.common import UPPER, sized_broadcast, stored
-from graphloom.session import checkpointed
 
 #: Rules as (verdict, host and path).
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-#: Share of a host's score that goes on along its links in a round, rounds, and how much more distrust than trust blocks.
-DAMPING, ROUNDS, MARGIN = 0.85, 10, 0.0
+#: Share of a host's score that goes on along its links in a round, and how much more distrust than trust blocks.
+DAMPING, MARGIN = 0.85, 0.0
+#: The summed change of the scores below which rounds end, and the rounds after which it can be no larger.
+TOLERANCE = 1e-10
+ROUNDS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
 #: Links of a page: the values of href, quoted or not.
 HREF = r"""(?is)<a\s[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
@@ -61,31 +64,35 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return named.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, score): the personalised PageRank of ``seeds`` (host, mass) over ``edges`` (src, dst, n).
 
     Scores start at the seeds' shares; each round gives 1 - damping to the seeds and passes the rest along the links.
-    What a host without links holds returns to the seeds. Only hosts that a seed reaches have a row. What is sent to a
-    host is summed before the shuffle, so a host that all others link to is one row of each task.
+    What a host without links holds returns to the seeds. Rounds end when the scores change by less than ``tolerance`` in
+    sum and a round has reached no new host; the driver sees these numbers and what was passed. Only hosts that a seed
+    reaches have a row. What is sent to a host is summed before the shuffle, so a host that all others link to is one
+    row of each task.
     """
     total = seeds.agg(F.sum("mass").alias("all"))
-    start = seeds.select("host", (F.col("mass") / total.scalar()).alias("seed"))
-    start = stored(start, "seeds")
+    start = stored(seeds.select("host", (F.col("mass") / total.scalar()).alias("seed")), "seeds")
     out = edges.groupBy("src").agg(F.sum("n").alias("of"))
     shares = edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("of")).alias("w"))
     shares = stored(shares, "shares")
-    if shares.isEmpty():
+    if shares.isEmpty() or start.isEmpty():
         return start.select("host", F.col("seed").alias("score"))
-    score = start.select("host", F.col("seed").alias("score"))
-    for _ in range(rounds):
-        sent = shares.join(score, shares.src == score.host).groupBy("dst").agg(F.sum(F.col("score") * F.col("w")).alias("sent"))
-        sent = stored(sent, "sent")
-        passed = sent.agg(F.coalesce(F.sum("sent"), F.lit(0.0)).alias("s"))
-        back = F.lit(1 - damping) + damping * (F.lit(1.0) - passed.scalar())
-        given = start.select("host", (F.col("seed") * back).alias("part"))
-        moved = sent.select(F.col("dst").alias("host"), (F.lit(damping) * F.col("sent")).alias("part"))
-        score = checkpointed(given.union(moved).groupBy("host").agg(F.sum("part").alias("score")))
-    return score
+    had = start.select("host", "seed", F.col("seed").alias("score"))
+    while True:
+        sent = shares.join(had, shares.src == had.host).groupBy("dst").agg(F.sum(F.col("score") * F.col("w")).alias("sent"))
+        come = sent.select(F.col("dst").alias("host"), F.lit(0.0).alias("seed"), F.lit(0.0).alias("was"), "sent", F.lit(0).alias("old"))
+        kept = had.select("host", "seed", F.col("score").alias("was"), F.lit(0.0).alias("sent"), F.lit(1).alias("old"))
+        summed = [F.sum(c).alias(c) for c in ("seed", "was", "sent", "old")]
+        new = stored(kept.union(come).groupBy("host").agg(*summed), "trust_round")
+        seen = new.agg(F.sum("sent").alias("passed"), F.count_if(F.col("old") == 0).alias("reached")).first()
+        back = 1 - damping + damping * (1 - seen["passed"])
+        score = F.col("seed") * F.lit(back) + F.lit(damping) * F.col("sent")
+        had = new.select("host", "seed", score.alias("score"))
+        if seen["reached"] == 0 and new.agg(F.sum(F.abs(score - F.col("was")))).first()[0] < tolerance:
+            return had.select("host", "score")
 
 
 def host_scores(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:

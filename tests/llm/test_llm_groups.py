@@ -200,6 +200,30 @@ def test_propagation_matches_matrix(spark, empty_docs):
     assert math.isclose(sum(scores.values()), 1)
 
 
+def test_trust_reaches_far(spark):
+    """A chain of 30 links is reached to its end at any tolerance; scores solve the equations of a matrix."""
+    chain = spark.createDataFrame([(f"c{i}", f"c{i + 1}", 1) for i in range(30)], "src string, dst string, n long")
+    far = host_trust.propagate(chain, spark.createDataFrame([("c0", 1.0)], "host string, mass double"), tolerance=0.1)
+    got = {r.host: r.score for r in far.collect()}
+    assert len(got) == 31 and all(got[f"c{i}"] > got[f"c{i + 1}"] > 0 for i in range(30))
+    assert host_trust.propagate(chain, chain.select(F.col("src").alias("host"), F.lit(1.0).alias("mass")).limit(0)).count() == 0
+
+    hosts, damping = [f"h{i}" for i in range(12)], 0.85
+    edges = {(a, (a + k) % 11): k for a in range(11) for k in (1, 3)} | {(4, 11): 2}  # h11 has no links
+    seed = np.zeros(12)
+    seed[[0, 5]] = 0.75, 0.25
+    moves = np.zeros((12, 12))
+    for (a, b), n in edges.items():
+        moves[b, a] = n / sum(m for (c, _), m in edges.items() if c == a)
+    moves[:, 11] = seed
+    expected = np.linalg.solve(np.eye(12) - damping * moves, (1 - damping) * seed)
+    scores = host_trust.propagate(
+        spark.createDataFrame([(hosts[a], hosts[b], n) for (a, b), n in edges.items()], "src string, dst string, n long"),
+        spark.createDataFrame([("h0", 3.0), ("h5", 1.0)], "host string, mass double"),
+    )
+    assert {r.host: r.score for r in scores.collect()} == pytest.approx(dict(zip(hosts, expected)), abs=1e-9)
+
+
 def test_no_pages(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert host_trust.verdicts(df).count() == 0
