@@ -51,7 +51,7 @@ def signed_from_bytes(col: Column) -> tuple[Column, Column]:
     size = F.length(col)
     low = F.conv(F.hex(F.substring(col, size - 7, F.lit(8))), 16, 10).cast("decimal(20,0)")
     high = _signed(F.substring(col, F.lit(1), size - 8)).cast("decimal(20,0)")
-    halves = F.try_add((high * F.lit(TWO_POW_64).cast("decimal(20,0)")).try_cast("decimal(38,0)"), low)
+    halves = F.try_add(F.try_multiply(high, F.lit(TWO_POW_64).cast("decimal(20,0)")), low)
     value = (
         F.when(size == 0, F.lit(None).cast("decimal(38,0)"))
         .when(size <= 8, _signed(col).cast("decimal(38,0)"))

@@ -7,11 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from graphloom.session import build_session  # noqa: E402
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
-    "conversations"
-).split()
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -7,9 +7,12 @@ import os
 import duckdb
 import pytest
 
-from conftest import TABLES
 from graphloom.catalog import ORACLES, QUERIES
 
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
 FOLDER = os.environ.get("CATALOG_SF_DIR", "/root/testdata/sf0.001")
 
 
