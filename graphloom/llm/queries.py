@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import decontaminate, exact_dedup, host_trust, order_minhash, role_repair, sentence_spans, severity, simple8b, tag_paths, unigram
+from graphloom.llm import (
+    decontaminate, exact_dedup, host_trust, order_minhash, qdwh_whitening, role_repair, sentence_spans, severity, simple8b,
+    tag_paths, turn_alignment, unigram,
+)
 from graphloom.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +113,14 @@ def op9_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return simple8b.token_files(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op11_qdwh_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return qdwh_whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@query()
+def op13_turn_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    return turn_alignment.repair(turn_alignment.damage(turns), turns.select("conv_id"))
