@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from graphloom.llm import (
-    decontaminate, exact_dedup, host_trust, order_minhash, qdwh_whitening, role_repair, sentence_spans, severity, simple8b,
+    decontaminate, exact_dedup, host_trust, nn_descent, order_minhash, qdwh_whitening, role_repair, sentence_spans, severity, simple8b,
     tag_paths, turn_alignment, unigram,
 )
 from graphloom.sources.tables import table
@@ -120,6 +120,11 @@ def op11_qdwh_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return qdwh_whitening.whiten(table(spark, folder, "embeddings"))
 
 
+@query()
+def op12_nn_descent(spark: SparkSession, folder: str) -> DataFrame:
+    return nn_descent.near_vectors(table(spark, folder, "embeddings"))
+
+
 @query()
 def op13_turn_alignment(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations")
