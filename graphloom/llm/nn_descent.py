@@ -246,11 +246,19 @@ def exact_links(vecs: DataFrame, graph: DataFrame, threshold: float) -> DataFram
 
 
 def _centres(members: DataFrame) -> DataFrame:
-    """(c, centre): the direction in the middle of each component."""
-    largest = F.array_max(F.transform("embedding", F.abs))
-    scaled = F.transform("embedding", lambda e: e / largest)
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda a, e: a + e * e))
-    parts = members.select("c", F.posexplode(F.transform(scaled, lambda e: e / norm)).alias("i", "e"))
+    """(c, centre): the direction in the middle of each component, added up before anything is shuffled."""
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                z = _units(_matrix(batch.column(1)))
+                names, at = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+                sums = np.zeros((len(names), z.shape[1]))
+                np.add.at(sums, at, z)
+                i = np.tile(np.arange(z.shape[1], dtype=np.int32), len(names))
+                yield pa.record_batch([pa.array(np.repeat(names, z.shape[1])), pa.array(i), pa.array(sums.ravel())], names=["c", "i", "e"])
+
+    parts = members.select("c", "embedding").mapInArrow(added, "c long, i int, e double")
     sums = parts.groupBy("c", "i").agg(F.sum("e").alias("e"))
     return sums.groupBy("c").agg(F.array_sort(F.collect_list(F.struct("i", "e")))["e"].alias("centre"))
 
@@ -352,15 +360,14 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_column: st
     usable = usable & (F.size("embedding") == width)
 
     classes = rows.where(usable).groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"))
-    largest = F.array_max(F.transform("embedding", F.abs))
-
     def rounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                q = np.rint(127.0 * _matrix(batch.column(4))).astype(np.int8)
-                yield pa.record_batch([*batch.columns[:4], pa.array([r.tobytes() for r in q], pa.binary())], names=["v", "least", "n", "embedding", "q"])
+                x = _matrix(batch.column(3))
+                q = np.rint(127.0 * (x / np.abs(x).max(axis=1, keepdims=True))).astype(np.int8)
+                yield pa.record_batch([*batch.columns, pa.array([r.tobytes() for r in q], pa.binary())], names=["v", "least", "n", "embedding", "q"])
 
-    numbered = classes.select(F.monotonically_increasing_id().alias("v"), "least", "n", "embedding", F.transform("embedding", lambda e: e / largest))
+    numbered = classes.select(F.monotonically_increasing_id().alias("v"), "least", "n", "embedding")
     vecs = stored(numbered.mapInArrow(rounded, "v long, least long, n long, embedding array<double>, q binary"), "vectors")
     count = vecs.count()
 
