@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import dataclasses
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from graphloom.catalog.registry import query
 from graphloom.functions import collections as coll
-from graphloom.functions import records, scalars, temporal, unions
+from graphloom.functions import numbers, records, scalars, temporal, unions
 from graphloom.functions.cells import column_of, record_of, variant_kind
 from graphloom.functions.decoder import combine, constant, decode, error_text
 from graphloom.operators.patterns import hop, node_value, rel_value
@@ -36,7 +38,7 @@ def decode_columns(df, keys, **decoders):
             out.append(got.errors.alias(name))
             shown.append(error_text(F.col(name)).alias(name))
         else:
-            out.append(F.when(got.ok, got.value).alias(name))
+            out.append(got.settled.alias(name))
             shown.append(F.col(name))
     return df.select(*keys, *out).select(*keys, *shown)
 
@@ -131,6 +133,8 @@ def decode_double(spark, d):
     "decode_bigint",
     f"""SELECT l_orderkey, l_linenumber, l_partkey, ({_WIDE})::VARCHAR AS of_integer, (-{_WIDE})::VARCHAR AS of_text,
                (-{_WIDE})::VARCHAR AS of_bytes, ((-{_WIDE})::HUGEINT * 18446744073709551616)::VARCHAR AS of_long_bytes,
+               ((-{_WIDE})::HUGEINT * 18446744073709551616)::VARCHAR AS of_longer_bytes,
+               'The integer needs more than 38 digits' AS too_wide,
                'Couldn''t decode Decimal(' || l_quantity::VARCHAR || ') into a BigInt' AS of_double,
                'Couldn''t create a BigInt from ' || l_returnflag AS bad_text FROM lineitem""",
 )
@@ -139,12 +143,42 @@ def decode_bigint(spark, d):
     digits = F.lpad(F.hex(-wide), 16, "F")
     lines = order_lines(
         spark, d, wide=wide, text=(-wide).cast("string"), raw=F.unhex(digits),
-        raw_long=F.unhex(F.concat(digits, F.lit("0" * 16))), dbl=F.col("l_quantity"), flag=F.col("l_returnflag"),
+        raw_long=F.unhex(F.concat(digits, F.lit("0" * 16))), raw_longer=F.unhex(F.concat(F.lit("FF"), digits, F.lit("0" * 16))),
+        raw_wide=F.unhex(F.concat(F.lit("7F"), F.right(digits, F.lit(14)), F.lit("0" * 16))), dbl=F.col("l_quantity"), flag=F.col("l_returnflag"),
     )
-    big = scalars.big_integer.map(lambda v: v.cast("string"))
-    return decode_columns(
+    big = scalars.big_integer
+    got = decode_columns(
         lines, LINE, of_integer=("wide", big), of_text=("text", big), of_bytes=("raw", big),
-        of_long_bytes=("raw_long", big), of_double=("dbl", big, True), bad_text=("flag", big, True),
+        of_long_bytes=("raw_long", big), of_longer_bytes=("raw_longer", big), too_wide=("raw_wide", big, True), of_double=("dbl", big, True), bad_text=("flag", big, True),
+    )
+    return got.select(*[F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, T.DecimalType) else f.name for f in got.schema])
+
+
+@query(
+    "decode_number",
+    f"""WITH lines AS (SELECT l_orderkey, l_linenumber, l_partkey, {_WIDE}::HUGEINT AS a FROM lineitem),
+             -- a * 2^64 in groups of 18 digits, times 2^64 once more
+             groups AS (SELECT *, a * 18446744073709551616 // 1000000000000000000 AS q,
+                               a * 18446744073709551616 % 1000000000000000000 AS r FROM lines),
+             product AS (SELECT *, q * 18446744073709551616 + r * 18446744073709551616 // 1000000000000000000 AS hi,
+                                r * 18446744073709551616 % 1000000000000000000 AS lo FROM groups)
+        SELECT l_orderkey, l_linenumber, l_partkey, '-' || hi || lpad(lo::VARCHAR, 18, '0') AS of_bytes,
+               a || repeat('7', 120) AS of_text, '0.' || repeat('0', 60) || rtrim(a::VARCHAR, '0') AS of_small,
+               rank() OVER (PARTITION BY l_orderkey ORDER BY a) AS place FROM product""",
+)
+def decode_number(spark, d):
+    """Integers of 24 bytes and of more than 120 digits, a fraction of more than 60, and ranks by such a number."""
+    wide = F.col("l_partkey") * F.lit(3000000019) + F.col("l_orderkey")
+    lines = order_lines(
+        spark, d, raw=F.unhex(F.concat(F.lpad(F.hex(-wide), 16, "F"), F.lit("0" * 32))),
+        text=F.concat(wide.cast("string"), F.lit("7" * 120)), small=F.concat(wide.cast("string"), F.lit("e-"), (F.length(wide.cast("string")) + 60).cast("string")),
+    )
+    got = {n: numbers.big_decimal(column_of(lines, n)).value for n in ("raw", "text", "small")}
+    held = lines.select(*LINE, *[v.alias(n) for n, v in got.items()])
+    rank = F.rank().over(Window.partitionBy("l_orderkey").orderBy("text"))
+    return held.select(
+        *LINE, numbers.to_text(F.col("raw")).alias("of_bytes"), numbers.to_text(F.col("text")).alias("of_text"),
+        numbers.to_text(F.col("small")).alias("of_small"), rank.cast("long").alias("place"),
     )
 
 
@@ -163,11 +197,13 @@ def decode_bigdecimal(spark, d):
         raw=F.unhex(F.lpad(F.hex("l_partkey"), 16, "0")), flag=F.col("l_returnflag"),
     )
     # A decimal's plain digits: zero would otherwise be shown as 0E-18.
-    big = scalars.big_decimal.map(lambda v: F.when(v == 0, F.lit("0.000000000000000000")).otherwise(v.cast("string")))
-    return decode_columns(
+    plain = lambda v: F.when(v == 0, F.lit("0.000000000000000000")).otherwise(v.cast("string"))
+    big = scalars.big_decimal
+    got = decode_columns(
         lines, LINE, of_integer=("whole", big), of_double=("dbl", big), of_text=("text", big), of_bytes=("raw", big),
         bad_text=("flag", big, True),
     )
+    return got.select(*[plain(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.DecimalType) else f.name for f in got.schema])
 
 
 @query(

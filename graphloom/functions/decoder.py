@@ -50,10 +50,17 @@ class Decoded:
     value: Column
     errors: Column
     packed: Column | None = None
+    # Whether the value is null exactly on the rows that have errors.
+    null_if_bad: bool = False
 
     @property
     def ok(self) -> Column:
-        return F.size(self.errors) == 0
+        return self.value.isNotNull() if self.null_if_bad else F.size(self.errors) == 0
+
+    @property
+    def settled(self) -> Column:
+        """The value, null where there are errors."""
+        return self.value if self.null_if_bad else F.when(self.ok, self.value)
 
     def column(self) -> Column:
         """Value and errors as one struct."""
@@ -81,6 +88,8 @@ class Decoder:
 
         def run(cell: Cell) -> Decoded:
             d = self(cell)
+            if d.null_if_bad:
+                return Decoded(F.when(d.value.isNotNull(), fn(d.value)), d.errors)
             return Decoded(fn(d.value), d.errors)
 
         return Decoder(run)
@@ -204,7 +213,8 @@ def from_match(type_name: str, ddl: str, cases: Sequence[Case]) -> Decoder:
             # A typed column that is parsed. Asking for the value first, on every row, lets Spark
             # compute it once for the value and the errors together.
             value, bad, _ = partial[0]
-            return Decoded(value, F.when(value.isNotNull(), no_errors()).when(branches[0][0], bad).otherwise(fail))
+            errors = F.when(value.isNotNull(), no_errors()).when(branches[0][0], bad).otherwise(fail)
+            return Decoded(value, errors, null_if_bad=True)
         return choose_first(branches, F.lit(None).cast(ddl), fail)
 
     return Decoder(run, tuple(kind for kind, _ in cases))
@@ -226,7 +236,7 @@ def choose_first(branches: list[tuple[Column, Column, Column]], value: Column, e
 def decode(df: DataFrame, decoder: Decoder, keep: Sequence[str] = (), cell: Cell | None = None) -> DataFrame:
     """One row in, one row out: the kept columns, ``value`` and ``errors``."""
     d = decoder(cell if cell is not None else Record(df.schema))
-    return df.select(*keep, F.when(d.ok, d.value).alias("value"), d.errors.alias("errors"))
+    return df.select(*keep, d.settled.alias("value"), d.errors.alias("errors"))
 
 
 def strict(decoded: DataFrame) -> DataFrame:

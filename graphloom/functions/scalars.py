@@ -44,19 +44,27 @@ def saturate_long(value: Column) -> Column:
 def signed_from_bytes(col: Column) -> tuple[Column, Column]:
     """Big-endian two's complement bytes as decimal(38,0), and a message where it does not fit.
 
-    Up to 8 bytes are read as one signed number and up to 16 as a signed high and an unsigned low
-    half, both short expressions that compile. More are held by a lambda variable; their leading bytes
-    may only repeat the sign.
+    Up to 8 bytes are read as one signed number, the last 16 as a signed high and an unsigned low half; bytes before
+    them may only repeat the sign. These are short expressions that compile.
     """
     size = F.length(col)
+    last = F.substring(col, F.greatest(size - 15, F.lit(1)), F.lit(16))
     low = F.conv(F.hex(F.substring(col, size - 7, F.lit(8))), 16, 10).cast("decimal(20,0)")
-    high = _signed(F.substring(col, F.lit(1), size - 8)).cast("decimal(20,0)")
-    halves = F.try_add(F.try_multiply(high, F.lit(TWO_POW_64).cast("decimal(20,0)")), low)
+    high = _signed(F.substring(last, F.lit(1), F.length(last) - 8)).cast("decimal(20,0)")
+    # a product is tried only at the very bound: an overflow that is tried is an exception, and slow
+    times = F.lit(TWO_POW_64).cast("decimal(20,0)")
+    bound = F.lit(str((10**38 - 1) // 2**64)).cast("decimal(20,0)")
+    safe = F.when(F.abs(high) < bound, high).otherwise(0).cast("decimal(20,0)")
+    halves = F.when(F.abs(high) < bound, (safe * times).cast("decimal(38,0)") + low).when(
+        F.abs(high) == bound, F.try_add(F.try_multiply(high, times), low)
+    ).cast("decimal(38,0)")
+    before = F.hex(F.substring(col, F.lit(1), size - 16))
+    sign = _sign(F.hex(F.substring(last, 1, 1)))
     value = (
         F.when(size == 0, F.lit(None).cast("decimal(38,0)"))
         .when(size <= 8, _signed(col).cast("decimal(38,0)"))
-        .when(size <= 16, halves.try_cast("decimal(38,0)"))
-        .otherwise(F.get(F.transform(F.array(F.hex(col)), _wide_number), F.lit(0)))
+        .when(size <= 16, halves)
+        .when(F.replace(before, sign, F.lit("")) == "", halves)
     )
     return value, F.lit("The integer needs more than 38 digits")
 
@@ -71,25 +79,19 @@ def _sign(digits: Column) -> Column:
     return F.when(digits >= "8", "F").otherwise("0")
 
 
-def _wide_number(digits: Column) -> Column:
-    sign = _sign(digits)
-    full = F.lpad(digits, F.greatest(F.lit(32), F.length(digits)), sign)
-    high = F.conv(F.substring(F.right(full, F.lit(32)), 1, 16), 16, -10).cast("decimal(38,0)")
-    low = F.conv(F.right(full, F.lit(16)), 16, 10).cast("decimal(38,0)")
-    whole = F.try_add(F.try_multiply(high, F.lit(TWO_POW_64).cast("decimal(20,0)")).cast("decimal(38,0)"), low)
-    repeated = F.replace(F.substring(full, F.lit(1), F.length(full) - 32), sign, F.lit("")) == ""
-    same_sign = _sign(F.right(full, F.lit(32))) == sign
-    return F.when(repeated & same_sign, whole.try_cast("decimal(38,0)"))
-
-
 def _parsed_integer(cell: Cell) -> tuple[Column, Column]:
     value = F.when(cell.col.rlike("^[+-]?[0-9]+$"), cell.col.try_cast("decimal(38,0)"))
     return value, F.concat(F.lit("Couldn't create a BigInt from "), cell.col)
 
 
+#: Texts that decimal(38,18) holds whatever their digits; all others are looked at more closely.
+_SHORT_DECIMAL = "^[+-]?([0-9]{1,20}([.][0-9]{0,18})?|[.][0-9]{1,18})$"
+_ANY_DECIMAL = "^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def _parsed_decimal(cell: Cell) -> tuple[Column, Column]:
-    number = "^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-    value = F.when(cell.col.rlike(number) & _fits_scale(cell.col), cell.col.try_cast("decimal(38,18)"))
+    cast = cell.col.try_cast("decimal(38,18)")
+    value = F.when(cell.col.rlike(_SHORT_DECIMAL), cast).when(cell.col.rlike(_ANY_DECIMAL) & _fits_scale(cell.col), cast)
     return value, F.concat(F.lit("Couldn't create a BigDecimal from "), cell.col)
 
 

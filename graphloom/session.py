@@ -15,6 +15,8 @@ def build_session(app: str = "graphloom", master: str | None = None, shuffle_par
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # the JVM never compiles methods of more bytecode than this; smaller ones are fast
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
