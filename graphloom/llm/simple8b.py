@@ -17,12 +17,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from graphloom.llm.chunks import by_size, spaced_chunks
+from graphloom.llm.chunks import chunk_lists, slices_by_size
 from graphloom.llm.common import sized_broadcast, stored
 
 #: Fixed values of the format: ids per word and bits per id, by selector from 1; selector 0 is the escape.
@@ -34,7 +35,7 @@ MAGIC = b"S8BW"
 HEADER = struct.Struct("<4sIqqqq")  # magic, block length, documents, ids, escapes, words
 BLOCK = 1024
 #: Characters that are encoded at a time, ids of a shard, and chunks whose ids are remembered.
-SLICE_CHARS, SHARD_IDS, MEMORY = 1_000_000, 1 << 20, 600_000
+SLICE_CHARS, SHARD_IDS, MEMORY = 2_000_000, 1 << 20, 600_000
 #: New chunks that are encoded as one text, and such texts at a time.
 TOGETHER, AT_ONCE = 1000, 20
 #: Fixed value of the tokenizer files: how a space is written in a token.
@@ -206,19 +207,30 @@ class ChunkEncoder:
         self.new_flat.append(flat)
         self.new_sizes.append(sizes)
 
-    def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, each closed by ``end``, and the number of ids of each text."""
-        keys: list[str | tuple[str]] = []
-        counts = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            chunks = spaced_chunks(text)
-            chunks[0] = (chunks[0],)
-            keys += chunks
-            counts[i] = len(chunks)
-        new = set(keys).difference(self.number)
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each closed by ``end``, and the number of ids of each text.
+
+        Equal chunks are one entry of an Arrow dictionary, so Python meets each chunk of a slice once.
+        """
+        lists = chunk_lists(texts)
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        names, code = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        begins = np.cumsum(counts) - counts
+        begin_names = np.unique(code[begins])
+        keys: list[str | tuple[str]] = [*names, *((names[i],) for i in begin_names.tolist())]
+        used = np.zeros(len(keys), bool)  # a chunk that only begins texts is no chunk behind a space
+        used[np.delete(code, begins)] = True
+        used[len(names) :] = True
+        code[begins] = len(names) + np.searchsorted(begin_names, code[begins])
+        get = self.number.get
+        numbers = np.array([get(k, -1) for k in keys], np.int64)
+        unknown = np.flatnonzero((numbers < 0) & used)
+        new = [keys[i] for i in unknown.tolist()]
         if new:
-            self.learn(list(new))
-        which = np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))
+            self.learn(new)
+            numbers[unknown] = [self.number[k] for k in new]
+        which = numbers[code]
         first = np.cumsum(self.sizes) - self.sizes
         sizes = self.sizes[which]
         after = np.cumsum(sizes)
@@ -263,9 +275,12 @@ def encode_shards(docs: DataFrame, path: str, end: int = 0) -> DataFrame:
             )
 
         for batch in batches:
-            for a, texts in by_size(batch.column(1), SLICE_CHARS):
+            names_of = batch.column(0).to_pylist()
+            a = 0
+            for texts in slices_by_size(batch.column(1), SLICE_CHARS):
                 flat, n = encoder.encode(texts, end)
-                names += batch.column(0).slice(a, len(texts)).to_pylist()
+                names += names_of[a : a + len(texts)]
+                a += len(texts)
                 sizes.append(n)
                 ids.append(flat)
                 if sum(map(len, ids)) >= SHARD_IDS:

@@ -27,7 +27,9 @@ ZIPF_SHIFT = 2.7
 NORMAL, UNKNOWN, CONTROL, BYTE = range(4)
 #: Chunks of more characters are encoded one by one, as their table would be mostly empty.
 LONG = 48
-SLICE_CHARS, MEMORY = 1_000_000, 300_000
+SLICE_CHARS, MEMORY = 500_000, 300_000
+#: New chunks whose tables are filled at a time.
+AT_ONCE = 5_000
 
 
 @dataclass
@@ -147,6 +149,7 @@ class Viterbi:
         self.known: dict[str | tuple[str], tuple[int, ...]] = {}
         self.base, self.check, self.leaf = pieces.base.tolist(), pieces.check.tolist(), pieces.leaf.tolist()
         self.score = pieces.scores.tolist()
+        self.ids = list(range(len(pieces.texts)))  # remembered pieces share these objects
 
     def one(self, chunk: str) -> tuple[int, ...]:
         """The pieces of one marked chunk, character by character."""
@@ -215,7 +218,7 @@ class Viterbi:
             found: list[int] = []
             while k:
                 at, p = links[k], ids[k]
-                found += [p] if p >= 0 else [self.bytes[b] for b in reversed(self.plain(chunk[at:k]))]
+                found += [self.ids[p]] if p >= 0 else [self.bytes[b] for b in reversed(self.plain(chunk[at:k]))]
                 k = at
             out.append(tuple(reversed(found)))
         return out
@@ -235,8 +238,8 @@ class Viterbi:
         marked = {c: MARK + c.replace(MARK, LITERAL).replace(" ", MARK) for c in new}
         short = [c for c in new if len(marked[c]) <= LONG]
         short.sort(key=len)
-        for a in range(0, len(short), 20_000):
-            part = short[a : a + 20_000]
+        for a in range(0, len(short), AT_ONCE):
+            part = short[a : a + AT_ONCE]
             self.known.update(zip(part, self.many([marked[c] for c in part])))
         self.known.update((c, self.one(marked[c])) for c in new if len(marked[c]) > LONG)
         known = self.known
