@@ -12,6 +12,7 @@ from graphloom.functions.cells import variant_kind
 from graphloom.functions.params import as_variant, mixed_list
 from graphloom.operators import results, writes
 from graphloom.operators.patterns import hop
+from graphloom.operators.store import Conflict, Store
 from graphloom.session import scratch_path
 from graphloom.sources.graph import element_id, order_graph
 from graphloom.sources.tables import table
@@ -283,3 +284,87 @@ def graph_reopen(spark, d):
         raise AssertionError("a node of two labels is there twice")
     matched = hop(g.nodes("creditor"), g.rels("in_nation"), g.nodes("NATION"))
     return matched.select("a.s_name", "a.element_id", F.col("b.n_name").alias("nation"))
+
+
+def _published_orders(spark, d, name):
+    """Customers (those in credit have a second label), nations and orders' relationships in a new store."""
+    store = Store(spark, scratch_path(spark, name))
+    customer, nation = table(spark, d, "customer"), table(spark, d, "nation")
+    people = writes.create_nodes(customer, "Customer", element_id("customer", "c_custkey"), "c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    credit = F.concat("labels", F.array(F.lit(" Creditor ")))
+    people = people.withColumn("labels", F.when(F.col("c_acctbal") > 0, credit).otherwise(F.col("labels")))
+    nations = writes.create_nodes(nation, "Nation", element_id("nation", "n_nationkey"), "n_nationkey", "n_name")
+    orders = table(spark, d, "orders")
+    orders_of = writes.create_nodes(orders, "Order", element_id("order", "o_orderkey"), "o_orderkey")
+    placed = orders.select(
+        F.concat(F.lit("placed:"), F.col("o_orderkey")).alias("element_id"), F.lit("PLACED").alias("rel_type"),
+        element_id("customer", "o_custkey").alias("src"), element_id("order", "o_orderkey").alias("dst"),
+    )
+    with store.unit() as unit:
+        for nodes in (people, nations, orders_of):
+            unit.add_nodes(nodes)
+        unit.add_rels(placed)
+    return store
+
+
+@query(
+    "scan_published_label",
+    """SELECT 'c:' || c_custkey AS element_id, c_name, '&creditor&customer&' AS label_set FROM customer WHERE c_acctbal > 0""",
+)
+def scan_published_label(spark, d):
+    """Nodes of one label of a published graph: the partitions of the label sets that hold it."""
+    return _published_orders(spark, d, "labels").snapshot().nodes("CREDITOR").select("element_id", "c_name", "label_set")
+
+
+@query(
+    "detach_delete_published",
+    """WITH gone AS (SELECT c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name = 'NATION_3'),
+            placed AS (SELECT 'placed:' || o_orderkey AS element_id, o_custkey IN (SELECT c_custkey FROM gone) AS cut FROM orders),
+            nodes AS (SELECT 'c:' || c_custkey AS element_id, c_custkey IN (SELECT c_custkey FROM gone) AS cut FROM customer)
+       SELECT 1 AS version, 'node' AS what, element_id FROM nodes UNION ALL SELECT 2, 'node', element_id FROM nodes WHERE NOT cut
+       UNION ALL SELECT 1, 'relationship', element_id FROM placed
+       UNION ALL SELECT 2, 'relationship', element_id FROM placed WHERE NOT cut""",
+)
+def detach_delete_published(spark, d):
+    """Customers of a nation are deleted: the next version lacks them and their orders' edges, the older has them."""
+    store = _published_orders(spark, d, "deletes")
+    with store.unit() as unit:
+        g = unit.read()
+        nation = g.nodes("nation").where("n_name = 'NATION_3'").select(F.col("n_nationkey").alias("k"))
+        unit.delete(g.nodes("customer").join(nation, F.col("c_nationkey") == F.col("k")).select("element_id"))
+    parts = []
+    for number in (1, 2):
+        g = store.snapshot(number)
+        for what, rows in (("node", g.nodes("customer")), ("relationship", g.rels("placed"))):
+            parts.append(rows.select(F.lit(number).alias("version"), F.lit(what).alias("what"), "element_id"))
+    return reduce(DataFrame.unionAll, parts)
+
+
+@query(
+    "publish_conflict",
+    """WITH kept AS (SELECT 'c:' || c_custkey AS element_id FROM customer WHERE c_nationkey <> 3
+                     UNION ALL SELECT 'n:' || n_nationkey FROM nation UNION ALL SELECT 'o:' || o_orderkey FROM orders
+                     UNION ALL SELECT 's:' || s_suppkey FROM supplier UNION ALL SELECT 'p:' || p_partkey FROM part)
+       SELECT element_id, 4 AS versions, 'second' AS gave_up FROM kept""",
+)
+def publish_conflict(spark, d):
+    """Two units delete customers, each unseen by the other: the one that publishes second gives up and is not seen.
+
+    Two units that only add nodes meet as well: both are published, one after the other.
+    """
+    store, gave_up = _published_orders(spark, d, "conflict"), "none"
+    try:
+        with store.unit() as second:
+            second.delete(second.read().nodes("customer").where("c_nationkey = 4"))
+            with store.unit() as first:
+                first.delete(first.read().nodes("customer").where("c_nationkey = 3"))
+    except Conflict:
+        gave_up = "second"
+    suppliers = writes.create_nodes(table(spark, d, "supplier"), "Supplier", element_id("supplier", "s_suppkey"), "s_name")
+    parts = writes.create_nodes(table(spark, d, "part"), "Part", element_id("part", "p_partkey"), "p_name")
+    with store.unit() as slow:
+        slow.add_nodes(suppliers)
+        with store.unit() as fast:
+            fast.add_nodes(parts)
+    rows = store.snapshot().every_node().select("element_id")
+    return rows.select("element_id", F.lit(len(store.versions())).alias("versions"), F.lit(gave_up).alias("gave_up"))
