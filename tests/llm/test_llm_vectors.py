@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from graphloom.llm import qdwh_whitening
+from graphloom.llm import nn_descent, qdwh_whitening
 from graphloom.llm.queries import QUERIES
 
 
@@ -94,3 +94,81 @@ def test_whitening_of_little(spark):
         assert qdwh_whitening.whiten(_vectors(spark, few)).collect() == []
     huge = [(1, [3e38, 0.0]), (2, [-3e38, 1.0]), (3, [0.0, 2.0])]
     assert len(qdwh_whitening.whiten(_vectors(spark, huge)).collect()) >= 3
+
+
+def near_by_hand(rows, threshold=0.95):
+    """Place -> (n_links, component_id, kept) by all pairs. A null id is larger than all."""
+    def norm(v):
+        if v is None or any(c is None or not math.isfinite(c) for c in v):
+            return None
+        v = np.array(v, float)
+        return v / np.abs(v).max() / np.linalg.norm(v / np.abs(v).max()) if v.any() else None
+
+    units = [norm(v) for _, v in rows]
+    widths = [len(u) for u in units if u is not None]
+    width = max(set(widths), key=lambda w: (widths.count(w), w), default=0)
+    units = [u if u is not None and len(u) == width else None for u in units]
+    root, links = list(range(len(rows))), [0] * len(rows)
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    usable = [i for i, u in enumerate(units) if u is not None]
+    z = np.array([units[i] for i in usable]) if usable else np.zeros((0, 1))
+    near = z @ z.T >= threshold
+    for a, i in enumerate(usable):
+        links[i] = int(near[a].sum()) - 1
+        for b in np.flatnonzero(near[a]):
+            root[find(usable[b])] = find(i)
+    least = {}
+    for i, (name, _) in enumerate(rows):
+        r = find(i)
+        least[r] = name if r not in least or least[r] is None else least[r] if name is None else min(least[r], name)
+    return sorted(
+        ((name, links[i], least[find(i)], name == least[find(i)]) for i, (name, _) in enumerate(rows)), key=str
+    )
+
+
+def near_found(df):
+    return sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in df.collect()), key=str)
+
+
+def test_near_vectors_query(spark, folder):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    assert near_found(QUERIES["op12_nn_descent"](spark, folder)) == near_by_hand(rows)
+
+
+def test_near_vectors_of_pairs_chains_and_dense_groups(spark):
+    """Pairs, chains, a tight group larger than any list, and a wide one whose members are not all linked."""
+    rng = np.random.default_rng(8)
+    unit = lambda v: v / np.linalg.norm(v)
+    vectors = [unit(rng.standard_normal(24)) for _ in range(500)]
+    for spread, count in ((0.03, 60), (0.075, 80)):
+        centre = unit(rng.standard_normal(24))
+        vectors += [unit(centre + spread * rng.standard_normal(24)) for _ in range(count)]
+    for v in vectors[:60]:
+        vectors.append(unit(v + 0.04 * rng.standard_normal(24)))
+    a, b = unit(rng.standard_normal(24)), unit(rng.standard_normal(24))
+    vectors += [unit(np.cos(t) * a + np.sin(t) * b) for t in np.arange(0, 1.5, 0.2)]
+    order = rng.permutation(len(vectors))
+    rows = [(int(order[i]), [float(c) for c in v]) for i, v in enumerate(vectors)]
+    got = nn_descent.near_vectors(_vectors(spark, rows))
+    exact = near_by_hand([(i, [float(np.float32(c)) for c in v]) for i, v in rows])
+    assert near_found(got) == exact and got.select("recall").distinct().count() == 1
+    assert max(n for _, n, _, _ in exact) >= 59
+
+
+def test_near_vectors_of_odd_rows(spark):
+    same = [0.5, -0.25, 1.0]
+    rows = [
+        (5, same), (3, same), (3, same), (None, same), (7, [1.0, -0.5, 2.0]), (1, [0.0, 0.0, 0.0]), (2, None), (4, [float("nan"), 1.0, 1.0]),
+        (6, [None, 1.0, 1.0]), (8, [1.0, 2.0]), (9, []), (None, [0.0, 1.0, 0.0]), (10, [1e-30, 2e-30, -3e-30]), (11, [1e30, 2e30, -3e30]),
+        (12, [float("inf"), 0.0, 0.0]),
+    ]
+    stored = [(i, v if v is None else [None if c is None else float(np.float32(c)) for c in v]) for i, v in rows]
+    assert near_found(nn_descent.near_vectors(_vectors(spark, rows))) == near_by_hand(stored)
+    assert near_found(nn_descent.near_vectors(_vectors(spark, []))) == []
+    assert near_found(nn_descent.near_vectors(_vectors(spark, [(1, None)]))) == [(1, 0, 1, True)]
+    assert near_found(nn_descent.near_vectors(_vectors(spark, [(1, [2.0])]))) == [(1, 0, 1, True)]
