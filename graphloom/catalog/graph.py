@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from graphloom.catalog.registry import query
+from graphloom.plans import colour_triangles, delta_stepping
 from graphloom.plans.article_rank import article_rank
 from graphloom.plans.projection import both_directions, project
 from graphloom.plans.shortest_path import distances, path_to
@@ -118,6 +119,15 @@ def triangle_count_all(spark, d):
     return triangle_count(_trade(spark, d))
 
 
+@query(
+    "triangle_count_colours",
+    f"WITH {_TRADE} SELECT v.id, coalesce(c.n, 0) AS triangles FROM v LEFT JOIN c ON c.id = v.id",
+)
+def triangle_count_colours(spark, d):
+    """The same by colours of vertices: edges are dealt to tasks as pairs of numbers, no list of neighbours moves."""
+    return colour_triangles.triangle_count(_trade(spark, d))
+
+
 @query("global_sum_metric", f"WITH {_TRADE} SELECT count(*) AS triangles FROM t")
 def global_sum_metric(spark, d):
     return global_triangles(triangle_count(_trade(spark, d)))
@@ -181,6 +191,8 @@ def jaccard_pairs(spark, d):
     return jaccard(pairs, edges).select("a", "b", F.round("score", 9).alias("score"))
 
 
+# Width of a bucket of costs: half the range of quantities.
+_BUCKET = 25
 # More rounds than the longest best path has hops at any of the supplied sizes.
 _ROUNDS = 30
 
@@ -204,6 +216,14 @@ def shortest_path_all(spark, d):
     return distances(graph, start).select("id", "cost", "hops")
 
 
+@query("shortest_path_buckets", _distance_ctes() + f" SELECT id, cost, hops FROM d{_ROUNDS}")
+def shortest_path_buckets(spark, d):
+    """The same by delta-stepping: a round shuffles one bucket of costs, settled vertices not again."""
+    graph = _supply(spark, d, "l_quantity")
+    start = order_graph(spark, d).nodes("supplier").where("s_suppkey = 0").select(F.col("vid").alias("id"))
+    return delta_stepping.distances(graph, start, delta=float(_BUCKET)).select("id", "cost", "hops")
+
+
 def _route_sql() -> str:
     ctes = [_distance_ctes(), f"w0 AS MATERIALIZED (SELECT id, cost, hops FROM d{_ROUNDS} WHERE id = (SELECT max(p_partkey) * 8 + 4 FROM part))"]
     for i in range(1, _ROUNDS + 1):
