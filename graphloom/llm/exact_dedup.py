@@ -2,7 +2,8 @@
 
 The index has one head per hash key, with the number of rows that carry the key. Buckets own ranges of keys. The
 directory starts with as many slots as the heads need on average and doubles while a bucket holds more heads than its
-capacity; a bucket that is not overfull is pointed at by several slots after a doubling. Rows of one key cannot be
+capacity; a bucket that is not overfull is pointed at by several slots after a doubling. A key is looked up by the
+slot its first bits name, in the bucket the directory gives for it, and nowhere else. Rows of one key cannot be
 split by more bits, so they are chained: the chain of a key has one link per different text, found by comparing the
 texts themselves. Everything here is DataFrame functions.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,8 +62,22 @@ def grow_directory(heads: DataFrame, capacity: int = CAPACITY) -> tuple[DataFram
     return stored(directory, "directory"), depth
 
 
-def build_index(docs: DataFrame, key: Callable[[Column], Column] = hash_key, capacity: int = CAPACITY) -> DataFrame:
-    """The stored index of ``docs`` (doc_id, text): bucket, key and n, the rows of the key.
+@dataclass(frozen=True)
+class Index:
+    """The stored index: the directory (slot, bucket, local_depth), its depth, and the heads (bucket, key, n)."""
+
+    directory: DataFrame
+    depth: int
+    heads: DataFrame
+
+    def addressed(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (with key) and the bucket that the slot of their key points at."""
+        at = self.directory.select(F.col("slot").alias("_slot"), "bucket")
+        return rows.join(sized_broadcast(at), _slot(F.col("key"), self.depth) == F.col("_slot"), "left").drop("_slot")
+
+
+def build_index(docs: DataFrame, key: Callable[[Column], Column] = hash_key, capacity: int = CAPACITY) -> Index:
+    """The stored index of ``docs`` (doc_id, text); its heads have bucket, key and n, the rows of the key.
 
     Heads are reduced before they are shuffled, so a text that fills a third of the table is one head. The task that
     writes a range of buckets owns them; within it heads are in the order of their keys.
@@ -69,24 +85,27 @@ def build_index(docs: DataFrame, key: Callable[[Column], Column] = hash_key, cap
     heads = docs.groupBy(key(F.col("text")).alias("key")).agg(F.count(F.lit(1)).alias("n"))
     heads = stored(heads, "heads")
     directory, depth = grow_directory(heads, capacity)
-    placed = heads.withColumn("slot", _slot(F.col("key"), depth)).join(sized_broadcast(directory), "slot")
-    owned = placed.select("bucket", "key", "n").repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key")
-    return stored(owned, "index")
+    index = Index(directory, depth, heads)
+    owned = index.addressed(heads).select("bucket", "key", "n")
+    owned = owned.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key")
+    return Index(directory, depth, stored(owned, "index"))
 
 
-def chains(docs: DataFrame, index: DataFrame, key: Callable[[Column], Column] = hash_key) -> DataFrame:
-    """The links of each key that several rows carry: key, text, keep_id, size and links, the chain's length.
+def chains(docs: DataFrame, index: Index, key: Callable[[Column], Column] = hash_key) -> DataFrame:
+    """The links of each key that several rows carry: bucket, key, text, keep_id, size and links, the chain's length.
 
-    Grouping by key and text compares the bytes of the texts. It is begun before the shuffle, so of a text that many
-    rows share each task sends one copy.
+    A row looks its key up in its bucket. The links of a bucket are made where it is owned: grouping by bucket, key
+    and text compares the bytes of the texts. It is begun before the shuffle, so of a text that many rows share each
+    task sends one copy.
     """
-    repeated = sized_broadcast(index.where("n > 1").select(F.col("key").alias("k")))
-    rows = docs.withColumn("key", key(F.col("text"))).join(repeated, F.col("key") == F.col("k"), "left_semi")
-    chain = rows.groupBy("key", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("size"))
+    repeated = sized_broadcast(index.heads.where("n > 1").select(F.col("bucket").alias("b"), F.col("key").alias("k")))
+    rows = index.addressed(docs.withColumn("key", key(F.col("text"))))
+    rows = rows.join(repeated, (F.col("bucket") == F.col("b")) & (F.col("key") == F.col("k")), "left_semi")
+    chain = rows.groupBy("bucket", "key", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("size"))
     chain = stored(chain, "chains")
-    collided = chain.groupBy("key").agg(F.count(F.lit(1)).alias("links")).where("links > 1")
-    return chain.join(collided, "key", "left").select(
-        "key", "text", "keep_id", "size", F.coalesce("links", F.lit(1)).alias("links")
+    collided = chain.groupBy("bucket", "key").agg(F.count(F.lit(1)).alias("links")).where("links > 1")
+    return chain.join(collided, ["bucket", "key"], "left").select(
+        "bucket", "key", "text", "keep_id", "size", F.coalesce("links", F.lit(1)).alias("links")
     )
 
 
@@ -101,11 +120,16 @@ def exact_duplicates(
     table gives an empty result. Returns doc_id, keep_id, group_size, kept, text_sha256.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    index = build_index(docs, key, capacity)
+    return answered(docs, build_index(docs, key, capacity), key)
+
+
+def answered(docs: DataFrame, index: Index, key: Callable[[Column], Column] = hash_key) -> DataFrame:
+    """What the index says of each row of ``docs`` (doc_id, text): a key that its bucket does not hold is alone."""
     chain = chains(docs, index, key)
-    alone = chain.where("links = 1").select(F.col("key").alias("k"), "keep_id", "size")
+    here = (F.col("bucket") == F.col("b")) & (F.col("key") == F.col("k"))
+    alone = chain.where("links = 1").select(F.col("bucket").alias("b"), F.col("key").alias("k"), "keep_id", "size")
     rows = docs.select("doc_id", key(F.col("text")).alias("key"), F.sha2("text", 256).alias("text_sha256"))
-    joined = rows.join(sized_broadcast(alone), F.col("key") == F.col("k"), "left").drop("k")
+    joined = index.addressed(rows).join(sized_broadcast(alone), here, "left").drop("b", "k", "bucket")
     clashing = stored(chain.where("links > 1").select(F.col("key").alias("k"), "text", "keep_id", "size"), "collisions")
     if not clashing.isEmpty():  # different texts under one key: the text decides
         link = clashing.select("k", F.col("text").alias("t"), "keep_id", "size")

@@ -62,6 +62,23 @@ def test_directory_doubles(spark):
     assert depth > min(r.local_depth for r in slots.values())  # some buckets were not split
 
 
+def test_answers_come_from_the_bucket_that_the_slot_names(spark):
+    """Heads put into a wrong bucket, or a slot that points elsewhere, are not found."""
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 100).alias("text"))
+    index = exact_dedup.build_index(docs, capacity=8)
+    assert index.depth >= 3
+    right = exact_dedup.answered(docs, index)
+    assert right.where("kept").count() == 100 and right.where("group_size = 4").count() == 400
+    buckets = sorted(r.bucket for r in index.heads.select("bucket").distinct().collect())
+    moved = F.when(F.col("bucket") == buckets[0], buckets[1]).otherwise(F.col("bucket")).alias("bucket")
+    lost = index.heads.where(F.col("bucket") == buckets[0]).count()
+    wrong = exact_dedup.answered(docs, exact_dedup.Index(index.directory, index.depth, index.heads.select(moved, "key", "n")))
+    assert wrong.where("group_size = 1").count() == 4 * lost > 0 and wrong.count() == 400
+    turned = index.directory.select("slot", moved, "local_depth")
+    wrong = exact_dedup.answered(docs, exact_dedup.Index(turned, index.depth, index.heads))
+    assert wrong.where("group_size = 1").count() == 4 * lost
+
+
 def test_deduplicate(edge_docs, empty_docs):
     kept = exact_dedup.deduplicate(edge_docs)
     assert kept.columns == edge_docs.columns
