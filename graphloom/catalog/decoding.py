@@ -301,43 +301,54 @@ def decode_hop(spark, d):
     )
 
 
-def _target(message):
-    return F.regexp_extract(message, "into a ([A-Za-z]+)$", 1)
+# A customer, its nation, the relationship between them and the path over it as an error text shows them.
+_NODE_TEXT = r"""'{"element_id":"c:' || c_custkey || '","labels":["customer"],"properties":"{\"c_custkey\":' || c_custkey
+    || ',\"c_name\":\"' || c_name || '\",\"c_nationkey\":' || c_nationkey || ',\"c_acctbal\":' || c_acctbal
+    || ',\"c_mktsegment\":\"' || c_mktsegment || '\"}"}'"""
+_NATION_TEXT = r"""'{"element_id":"n:' || n_nationkey || '","labels":["nation"],"properties":"{\"n_nationkey\":' || n_nationkey
+    || ',\"n_name\":\"' || n_name || '\",\"n_regionkey\":' || n_regionkey || '}"}'"""
+_REL_TEXT = """'{"element_id":"in_nation:c:' || c_custkey || '","rel_type":"in_nation","properties":"{}","src":"c:' || c_custkey
+    || '","dst":"n:' || n_nationkey || '"}'"""
+_PATH_TEXT = f"""'{{"start":' || {_NODE_TEXT} || ',"segments":[{{"start":' || {_NODE_TEXT} || ',"relationship":' || {_REL_TEXT}
+    || ',"end":' || {_NATION_TEXT} || '}}]}}'"""
+
+
+def _refused(label: str, text: str, into: str) -> str:
+    return f"'Couldn''t decode {label}(' || {text} || ') into a {into}'"
 
 
 @query(
     "decode_node",
-    """SELECT c_custkey, 'c:' || c_custkey AS element_id, 'customer' AS labels, 'Node' AS wrong_kind FROM customer
-       JOIN nation ON c_nationkey = n_nationkey""",
+    f"""SELECT c_custkey, 'c:' || c_custkey AS element_id, 'customer' AS labels, {_refused("Relationship", _REL_TEXT, "Node")} AS wrong_kind
+        FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 )
 def decode_node(spark, d):
     got = decode_columns(_customer_hop(spark, d), ["c_custkey"], n=("n", records.node), wrong=("r", records.node, True))
-    return got.select("c_custkey", "n.element_id", F.array_join("n.labels", ",").alias("labels"),
-                      _target(F.col("wrong")).alias("wrong_kind"))
+    return got.select("c_custkey", "n.element_id", F.array_join("n.labels", ",").alias("labels"), F.col("wrong").alias("wrong_kind"))
 
 
 @query(
     "decode_rel",
-    """SELECT c_custkey, 'in_nation' AS rel_type, 'c:' || c_custkey AS src, 'n:' || n_nationkey AS dst,
-              'Relationship' AS wrong_kind FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    f"""SELECT c_custkey, 'in_nation' AS rel_type, 'c:' || c_custkey AS src, 'n:' || n_nationkey AS dst,
+               {_refused("Node", _NODE_TEXT, "Relationship")} AS wrong_kind FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 )
 def decode_rel(spark, d):
     got = decode_columns(_customer_hop(spark, d), ["c_custkey"], r=("r", records.relationship),
                  wrong=("n", records.relationship, True))
-    return got.select("c_custkey", "r.rel_type", "r.src", "r.dst", _target(F.col("wrong")).alias("wrong_kind"))
+    return got.select("c_custkey", "r.rel_type", "r.src", "r.dst", F.col("wrong").alias("wrong_kind"))
 
 
 @query(
     "decode_path",
-    """SELECT c_custkey, 'c:' || c_custkey AS first, 'n:' || n_nationkey AS last, 1 AS length, 'Path' AS wrong_kind
-       FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    f"""SELECT c_custkey, 'c:' || c_custkey AS first, 'n:' || n_nationkey AS last, 1 AS length,
+               {_refused("Node", _NODE_TEXT, "Path")} AS wrong_kind FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 )
 def decode_path(spark, d):
     got = decode_columns(_customer_hop(spark, d), ["c_custkey"], p=("p", records.path), wrong=("n", records.path, True))
     p = F.col("p")
     return got.select("c_custkey", p["start"]["element_id"].alias("first"),
                       paths.path_end(p)["element_id"].alias("last"), F.size("p.segments").alias("length"),
-                      _target(F.col("wrong")).alias("wrong_kind"))
+                      F.col("wrong").alias("wrong_kind"))
 
 
 @query(
@@ -492,15 +503,15 @@ def temporal_parse_errors(spark, d):
 
 @query(
     "decode_object",
-    """SELECT c_custkey, 'c:' || c_custkey AS of_node, 'in_nation' AS of_rel, c_custkey AS of_map,
-              'Object' AS wrong_kind FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    f"""SELECT c_custkey, 'c:' || c_custkey AS of_node, 'in_nation' AS of_rel, c_custkey AS of_map,
+               {_refused("Path", _PATH_TEXT, "Object")} AS wrong_kind FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 )
 def decode_object(spark, d):
     held = _customer_hop(spark, d).withColumn("m", F.struct("c_custkey", F.lit(1).alias("one")))
     got = decode_columns(held, ["c_custkey"], n=("n", records.any_object), r=("r", records.any_object),
                  m=("m", records.any_object), wrong=("p", records.any_object, True))
     return got.select("c_custkey", F.col("n.element_id").alias("of_node"), F.col("r.rel_type").alias("of_rel"),
-                      F.col("m.c_custkey").alias("of_map"), _target(F.col("wrong")).alias("wrong_kind"))
+                      F.col("m.c_custkey").alias("of_map"), F.col("wrong").alias("wrong_kind"))
 
 
 @query(
