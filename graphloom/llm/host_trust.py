@@ -8,7 +8,6 @@ if its host's distrust exceeds its trust by more than a threshold.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,11 +19,12 @@ from graphloom.llm.common import UPPER, sized_broadcast, stored
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 #: Share of a host's score that goes on along its links in a round, and how much more distrust than trust blocks.
 DAMPING, MARGIN = 0.85, 0.0
-#: The summed change of the scores below which rounds end, and the rounds after which it can be no larger.
+#: The summed change of the scores below which rounds end.
 TOLERANCE = 1e-10
-ROUNDS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
-#: Links of a page: the values of href, quoted or not.
-HREF = r"""(?is)<a\s[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+#: What a page does not show, where no link stands: comments, and elements whose content is no markup.
+UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template|textarea|noscript)\b.*?(?:</\1\s*>|\z)"
+#: Links of a page: the values of href, quoted or not; of data-href and the like not.
+HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
 def url_host(url: Column) -> Column:
@@ -56,7 +56,8 @@ def host_edges(pages: DataFrame) -> DataFrame:
     A link without a host of its own stays on the page's host and is no edge. Links are counted before the shuffle, so
     the links of a host that has a third of all pages are few rows.
     """
-    groups = [F.regexp_extract_all("html", F.lit(HREF), k) for k in (1, 2, 3)]
+    seen = F.regexp_replace("html", UNSEEN, " ")
+    groups = [F.regexp_extract_all(seen, F.lit(HREF), k) for k in (1, 2, 3)]
     href = F.explode(F.concat(*groups)).alias("href")
     links = pages.select(url_host(F.col("url")).alias("src"), href).where("href rlike '^[ \t\r\n]*([A-Za-z][A-Za-z0-9+.-]*:)?//'")
     whole = F.when(F.col("href").rlike("^[ \t\r\n]*//"), F.concat(F.lit("http:"), F.trim("href"))).otherwise(F.col("href"))
