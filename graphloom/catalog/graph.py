@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from graphloom.catalog.registry import query
-from graphloom.plans import colour_triangles, delta_stepping
+from graphloom.plans import colour_triangles, delta_stepping, residual_rank
 from graphloom.plans.article_rank import article_rank
 from graphloom.plans.projection import both_directions, project
 from graphloom.plans.shortest_path import distances, path_to
@@ -86,6 +86,13 @@ def article_rank_top(spark, d):
     )
 
 
+@query("article_rank_push", _rank_sql(40, "SELECT id, round(score, 9) AS score FROM s"))
+def article_rank_push(spark, d):
+    """Every vertex, converged: forty rounds change no digit of the SQL's scores any more."""
+    ranks = residual_rank.article_rank(_supply(spark, d), tolerance=1e-10)
+    return ranks.select("id", F.round("score", 9).alias("score"))
+
+
 def _element(vid):
     prefix = F.when(F.pmod(vid, F.lit(8)) == 4, "p:").otherwise("s:")
     return F.concat(prefix, F.shiftright(vid, 3).cast("string"))
