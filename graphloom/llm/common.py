@@ -17,11 +17,20 @@ _WORD_BYTES = bytes(
 )
 #: Rows of a few numbers that may be broadcast: some 32 MB at most.
 BROADCAST_ROWS = 500_000
+#: Rows of a few words to a file, where a table's rows are counted before it is written.
+FILE_ROWS = 50_000
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a table in the shared folder and read again, so that a lost executor costs no recomputation."""
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """``df`` written as a table in the shared folder and read again, so that a lost executor costs no recomputation.
+
+    Where ``rows``, at least the number of rows, is given, a small table is laid into as few files as it needs instead
+    of one for each shuffle partition.
+    """
     path = scratch_path(df.sparkSession, name)
+    if rows is not None:
+        most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(min(1 + rows // FILE_ROWS, most))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

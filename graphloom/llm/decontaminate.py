@@ -73,13 +73,15 @@ def windows(items: DataFrame, index: DataFrame, window: int = WINDOW) -> DataFra
         F.count(F.lit(1)).alias("present"),
         F.array_sort(F.collect_list(F.when(F.col("rank") <= RAREST, F.struct("rank", "ipos", "term")))).alias("rare"),
     )
-    return stored(spans.join(rare, ["item", "item_id", "off"]).where("present = len").drop("present"), "windows")
+    found = spans.join(rare, ["item", "item_id", "off"]).where("present = len").drop("present")
+    n = items.agg(F.sum(F.greatest(F.size("ws") - window + 1, F.lit(1)))).first()[0] or 0
+    return stored(found, "windows", n)
 
 
 def _hits(index: DataFrame, spans: DataFrame) -> DataFrame:
     """Postings of the rarest words, shifted by their offsets: text_key, item, ipos, delta."""
     anchors = spans.select("item", F.explode("rare").alias("r")).select("item", "r.ipos", F.col("r.term").alias("t")).distinct()
-    anchors = stored(anchors, "anchors")
+    anchors = stored(anchors, "anchors", RAREST * spans.count())
     found = index.where("term is not null").join(sized_broadcast(anchors), F.col("term") == F.col("t"))
     return found.select("text_key", "item", "ipos", (F.col("pos") - F.col("ipos")).alias("delta"))
 
@@ -152,13 +154,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     and matches: (start, len, phrase, item_id) of every exact phrase match.
     """
     docs = docs.select("doc_id", "text")
-    items = stored(benchmark_items(benchmark.select("item_id", "text")), "items")
+    items = stored(benchmark_items(benchmark.select("item_id", "text")), "items", benchmark.count())
     index = build_index(docs, item_terms(items))
     spans = windows(items, index, window)
     places = candidates(index, spans).groupBy(F.col("text_key").alias("k")).agg(
         F.collect_set(F.struct("start", "len", "phrase", "item_id")).alias("places")
     )
-    places = stored(places, "places")
+    places = stored(places, "places", index.where("last").count())
     keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     n = places.count()
     if n <= BROADCAST_ROWS:  # then only texts with such a place are shuffled

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from graphloom.llm import decontaminate, exact_dedup
+from graphloom.llm.common import stored
 from graphloom.llm.queries import ORACLES, QUERIES
 
 
@@ -136,3 +137,35 @@ def test_near_matches(spark):
     common = spark.createDataFrame([(9, " ".join(words[1:12] * 3))], "doc_id long, text string")
     found = {r.doc_id: r.gap for r in decontaminate.near_matches(docs.union(common), items, slop=3).collect()}
     assert found == {1: 0, 2: 2}
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """40 partitions for each shuffle, small ones left as they are."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for k, v in zip(held, ("40", "false")):
+        spark.conf.set(k, v)
+    yield
+    for k, v in held.items():
+        spark.conf.set(k, v)
+
+
+def test_small_tables_take_few_files(spark, items, monkeypatch, many_partitions):
+    """However many partitions a shuffle has, tables of a few rows are one file, and no row is lost on the way."""
+    written = {}
+
+    def kept(df, name, *rows):
+        written[name] = stored(df, name, *rows)
+        return written[name]
+
+    monkeypatch.setattr(decontaminate, "stored", kept)
+    text = " ".join(f"w{i}" for i in range(5, 30))
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.concat(F.lit(text + " w"), F.col("id")).alias("text"))
+    assert decontaminate.contamination(docs, items).where("n_hit = 25 and n_items = 2").count() == 50
+    small = {k: len(written[k].inputFiles()) for k in ("items", "windows", "anchors", "places")}
+    assert small == dict.fromkeys(small, 1) and written["places"].count() == 50
+
+
+def test_large_tables_take_a_file_for_each_partition_at_most(spark, many_partitions):
+    spread = stored(spark.range(100), "spread", 10**9)
+    assert 1 < len(spread.inputFiles()) <= 40 and spread.count() == 100
