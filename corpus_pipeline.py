@@ -10,11 +10,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from graphloom.llm import decontaminate, exact_dedup, order_minhash, severity, unigram
-from graphloom.llm.common import stored
+from graphloom.llm.common import small_batches, stored
 from graphloom.sources.tables import table
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return severity.not_toxic(docs, table(spark, sf_dir, "labels"))
 
 
@@ -23,6 +24,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return order_minhash.one_of_each(docs)
 
 
@@ -31,6 +33,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return unigram.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 

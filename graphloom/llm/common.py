@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.session import checkpointed, scratch_path
@@ -19,6 +23,8 @@ _WORD_BYTES = bytes(
 BROADCAST_ROWS = 500_000
 #: Rows of a few words to a file, where a table's rows are counted before it is written.
 FILE_ROWS = 50_000
+#: MB of a batch of rows on its way between the JVM and a Python worker; either holds several copies of it.
+BATCH_MB = 2
 
 
 def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
@@ -35,6 +41,41 @@ def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session hands Python workers batches of about ``BATCH_MB`` at most; a smaller bound stays.
+
+    Spark's own bound is 10,000 rows or 64 MB, and what its copies took stays with the worker and the JVM's buffers.
+    The rows and their order are the same.
+    """
+    bound = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    if _in_bytes(bound) > BATCH_MB << 20:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_MB}m")
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run``, whose task gives back what it has freed when it ends.
+
+    A worker waits for its next task beside whatever else the executor does, and by itself keeps the most it ever had.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.pythonapi, "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return task
+
+
+def _in_bytes(size: str) -> int:
+    """A size as Spark's settings have it: 67108864, 64m, 64mb."""
+    number = size.lower().removesuffix("b").rstrip("kmgtp")
+    return int(number) << 10 * ("kmgtp".find(size.lower().removesuffix("b")[-1]) + 1)
+
+
 def sized_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df``, marked for broadcast if it was counted to have few rows; else joins shuffle it."""
     return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df

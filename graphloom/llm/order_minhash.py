@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import BROADCAST_ROWS, components, kept_rows, sized_broadcast, stored, word_list
+from graphloom.llm.common import BROADCAST_ROWS, components, kept_rows, released, sized_broadcast, stored, word_list
 
 #: Words of a k-mer, k-mers of a sketch row, rows of a sketch. A pair of similarity 0.8 of long texts agrees in a row
 #: with probability 0.26 and misses all rows with probability 0.00006 (texts of little more than SHORT k-mers: 0.00012).
@@ -142,7 +142,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             )
 
     key = F.xxhash64(F.coalesce("text", F.lit("")))
-    return docs.select(F.col("doc_id").cast("long"), key.alias("text_key"), "text").mapInArrow(run, SKETCHED)
+    return docs.select(F.col("doc_id").cast("long"), key.alias("text_key"), "text").mapInArrow(released(run), SKETCHED)
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -166,7 +166,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             keep = pa.array(linked, pa.bool_())
             yield pa.record_batch([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(align, LINKS)
+    return both.select("a", "b", "ta", "tb").mapInArrow(released(align), LINKS)
 
 
 LINKS = "a binary, b binary"

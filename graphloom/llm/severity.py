@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import word_list
+from graphloom.llm.common import released, word_list
 
 #: Labelled rows that the model is fitted on at most, half of each label: those with the smallest hashes of doc_id.
 SAMPLE = 6_000
@@ -203,4 +203,4 @@ def not_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
             steps = shared.value.at_least(shared.value.score(batch.column(text).to_pylist(), known))
             yield batch.filter(pa.array(steps.sum(axis=1) < ABUSIVE))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.chunks import by_size, spaced_chunks
+from graphloom.llm.common import released
 
 #: Fixed values of the piece format: the mark of a space, and how much less than the worst piece an unknown character scores.
 MARK, UNKNOWN_PENALTY = "▁", 10.0
@@ -303,4 +304,4 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
                 )
 
     texts = F.coalesce("text", F.lit("")).alias("text")
-    return docs.select(F.col("doc_id").cast("long"), texts).mapInArrow(encode, ENCODED)
+    return docs.select(F.col("doc_id").cast("long"), texts).mapInArrow(released(encode), ENCODED)

@@ -5,12 +5,13 @@ import itertools
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from graphloom.llm import decontaminate, exact_dedup, host_trust, order_minhash, severity
-from graphloom.llm.common import components, word_list
+from graphloom.llm.common import BATCH_MB, components, released, small_batches, word_list
 from graphloom.llm.queries import QUERIES
 
 
@@ -287,3 +288,52 @@ def test_stages_keep_columns(spark, folder, edge_docs, empty_docs):
         for name, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, docs, folder).columns == docs.columns, name
     assert exact_dedup.deduplicate(edge_docs).count() <= edge_docs.count()
+
+
+BATCH_BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.mark.parametrize("name", ["toxicity", "near_dedup", "sentencepiece"])
+def test_stages_hand_workers_small_batches(spark, folder, empty_docs, name):
+    """12 MB in fewer rows than Spark puts into one batch."""
+    def widest(batches):
+        yield pa.record_batch([pa.array([max(b.nbytes for b in batches)])], names=["n"])
+
+    docs = spark.range(0, 6_000, 1, 1).select(F.repeat(F.lit("word "), 400).alias("text"))
+    spark.conf.unset(BATCH_BOUND)
+    try:
+        dict(corpus_pipeline.STAGES)[name](spark, empty_docs, folder)
+        assert docs.mapInArrow(widest, "n long").first().n < 2 * BATCH_MB << 20
+    finally:
+        spark.conf.unset(BATCH_BOUND)
+
+
+def test_smaller_batches_stay(spark):
+    try:
+        lowered = f"{BATCH_MB}m"
+        for bound, after in (("100k", "100k"), ("1mb", "1mb"), ("2097152", "2097152"), ("64m", lowered), ("1g", lowered)):
+            spark.conf.set(BATCH_BOUND, bound)
+            small_batches(spark)
+            assert spark.conf.get(BATCH_BOUND) == after
+    finally:
+        spark.conf.unset(BATCH_BOUND)
+
+
+def test_tasks_give_memory_back():
+    """180 MB are freed below a piece that stays."""
+    def held():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096 >> 20
+
+    stays = []
+
+    def run(batches):
+        for batch in batches:
+            pieces = [bytes(600) for _ in range(300_000)]
+            stays.append(bytes(600))
+            del pieces
+            yield batch
+
+    before, batch = held(), pa.record_batch([pa.array([1])], names=["n"])
+    assert list(released(run)(iter([batch]))) == [batch]
+    assert held() < before + 60
