@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from hypothesis import given, settings
@@ -346,3 +347,48 @@ def test_token_files_edges(spark, edge_docs, empty_docs):
     assert simple8b.token_files(empty_docs, BPE).count() == 0
     odd = spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string")
     assert sorted(tuple(r) for r in simple8b.token_files(odd, BPE).collect()) == expected_tokens(list(enumerate(ODD)))
+
+
+def test_endings_share_pieces(monkeypatch):
+    encoder, met = simple8b.ChunkEncoder(BPE), []
+    monkeypatch.setattr(simple8b.ChunkEncoder, "_ids", lambda self, texts, run=simple8b.ChunkEncoder._ids: met.extend(texts) or run(self, texts))
+    words = [f"{a}{b}{c}or" for a in ("Hest", "bleed", "thï") for b in ("ene", "ando", "aux") for c in ("lich", "ción", "9")]
+    texts = [" ".join(f"{w}{end}" for w in words) for end in ("", ".", ",", "!", "***", "&&&", ".\nQue", "\nQue", "?!\nQue")]
+    flat, n = encoder.encode(pa.array(texts), 0)
+    assert [i for t in texts for i in encoder.tokenizer.encode(t, add_special_tokens=False).ids + [0]] == flat.tolist()
+    assert sum(n) == len(flat) and sum(len(t) for t in met) < 1.5 * len(texts[0])
+    met.clear()
+    encoder.encode(pa.array([f"x {w}{end}" for w in words for end in ("?", "%", ";\nQue")]), 0)
+    assert sorted(met) == [" x", "%", ";", "?", "x"]
+
+
+@pytest.mark.parametrize("memory", [0, 3, 600_000])
+def test_pieces_of_odd_texts(memory):
+    encoder, rng = simple8b.ChunkEncoder(BPE, memory), random.Random(8)
+    parts = [*"ab's\u00e91.,;!?*$%#&\n\n\n\t \x0b\x85\u3000\u00f1\u65e5\u00b2\u00d7_-<|>", "<|endoftext|>", "'s", "ll", " ", "  ", ".\n", ".\n\n"]
+    texts = ODD + ["".join(rng.choices(parts, k=rng.randrange(1, 40))) for _ in range(3000)]
+    for _ in range(2):
+        flat, n = encoder.encode(pa.array(texts), 0)
+        for text, ids in zip(texts, np.split(flat, np.cumsum(n)[:-1])):
+            assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [0], text
+    assert len(encoder.known) <= memory
+    assert [len(x) for x in encoder.encode(pa.array([], pa.string()), 0)] == [0, 0]
+    assert [x.tolist() for x in encoder.encode(pa.array([""], pa.large_string()), 7)] == [[7], [1]]
+    large, sizes = encoder.encode(pa.array(texts, pa.large_string()), 0)
+    assert (large == flat).all() and (sizes == n).all()
+
+
+def test_marks_of_added_tokens_cut_nothing(tmp_path):
+    from tokenizers import AddedToken, Tokenizer
+
+    other = Tokenizer.from_file(BPE)
+    other.add_tokens([AddedToken("st.", normalized=False), AddedToken("u!!")])
+    other.save(str(tmp_path / "other.json"))
+    encoder = simple8b.ChunkEncoder(str(tmp_path / "other.json"))
+    assert not set(".!") & set(encoder.marks) and "," in encoder.marks
+    text = "first. thou!! first, thou!\nfirst."
+    assert encoder.encode(pa.array([text]), 0)[0].tolist() == other.encode(text, add_special_tokens=False).ids + [0]
+    other.add_tokens([AddedToken("\nfi", normalized=False)])
+    other.save(str(tmp_path / "lines.json"))
+    encoder = simple8b.ChunkEncoder(str(tmp_path / "lines.json"))
+    assert encoder.marks == "" and encoder.encode(pa.array([text]), 0)[0].tolist() == other.encode(text, add_special_tokens=False).ids + [0]
