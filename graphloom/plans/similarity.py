@@ -16,17 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.plans.packed import Routed, colour, joined, longs, met, passed_on, sent, starts
+from graphloom.plans.packed import PROBES_AT_ONCE, Keys, Routed, colour, distinct, joined, longs, met, passed_on, sent, spans, starts
 from graphloom.plans.projection import degrees
 from graphloom.session import written
 
-#: Edges that a task sorts; edges of either side and pairs in one place; neighbours that are looked up at a time.
-EDGES_PER_TASK, EDGES_PER_PLACE, PAIRS_PER_PLACE, PROBES_AT_ONCE = 2_000_000, 3_000_000, 1_000_000, 500_000
-#: Most bits of the table that tells most edges that are not there.
-_BITS = 28
+#: Edges that a task sorts; edges of either side and pairs in one place.
+EDGES_PER_TASK, EDGES_PER_PLACE, PAIRS_PER_PLACE = 2_000_000, 3_000_000, 1_000_000
 #: Buckets of vertices whose edges are counted before anything is dealt out.
 _BUCKETS = 1 << 14
-_MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Kinds of what meets: lists of either end, their neighbours that are null, and pairs.
 _LISTS, _NULLS, _PAIRS = (0, 1), (2, 3), 4
 
@@ -55,7 +52,7 @@ def _common(pairs: DataFrame, edges: DataFrame, weighed: bool) -> DataFrame:
 
     def wanted(table: pa.Table) -> Routed:
         for kind, end in ((2, "a"), (3, "b")):
-            ids = np.unique(longs(table[end]))
+            ids = distinct(longs(table[end]))
             for s in range(slices):
                 yield kind, colour(ids, parts) * slices + s, [ids]
 
@@ -81,7 +78,7 @@ def _common(pairs: DataFrame, edges: DataFrame, weighed: bool) -> DataFrame:
     def lists_of_wanted(place: int, kinds: dict) -> Routed:
         rows, (ids, n) = joined(kinds.get(0), width), joined(kinds.get(1), 2)
         for side in (0, 1):
-            keep = np.unique(joined(kinds.get(2 + side), 1)[0])
+            keep = distinct(joined(kinds.get(2 + side), 1)[0])
             there = np.isin(rows[0], keep)
             yield _LISTS[side], np.full(int(there.sum()), place), [c[there] for c in rows]
             there = np.isin(ids, keep)
@@ -161,35 +158,11 @@ class _Lists:
 def _hits(few: _Lists, many: _Lists, of_few: np.ndarray, of_many: np.ndarray, span: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(pair, neighbour's place among those of ``few``) of all neighbours that are in both lists of a pair."""
     key = np.repeat(np.arange(len(many.lengths)) * span, many.lengths) + many.z  # sorted, as the lists are
-    if not len(key):
-        return
-    power = np.uint64(64 - min(_BITS, max(10, (32 * len(key)).bit_length())))
-    bits = np.zeros(1 << (61 - int(power)), np.uint8)
-
-    def spot(k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        h = (k.view(np.uint64) * _MIX) >> power
-        return (h >> np.uint64(3)).view(np.int64), h.astype(np.uint8) & np.uint8(7)
-
-    for a in range(0, len(key), PROBES_AT_ONCE):
-        byte, bit = spot(key[a : a + PROBES_AT_ONCE])
-        np.bitwise_or.at(bits, byte, np.left_shift(np.uint8(1), bit))
-    length = np.r_[few.lengths, 0][of_few]
-    begin = np.r_[few.at, 0][of_few]
-    total = np.cumsum(length)
-    a = 0
-    while a < len(of_few):
-        done = int(total[a - 1]) if a else 0
-        b = max(a + 1, int(np.searchsorted(total, done + PROBES_AT_ONCE, side="right")))
-        n = length[a:b]
-        at = np.repeat(begin[a:b] - (total[a:b] - n - done), n) + np.arange(int(total[b - 1]) - done)
-        k = np.repeat(of_many[a:b] * span, n) + few.z[at]
-        byte, bit = spot(k)
-        may = np.flatnonzero((bits[byte] >> bit) & np.uint8(1))
-        k = k[may]
-        near = np.minimum(np.searchsorted(key, k), len(key) - 1)
-        hit = may[key[near] == k]
-        yield np.searchsorted(total[a:b] - done, hit, side="right") + a, at[hit]
-        a = b
+    keys = Keys(key)
+    length, begin = np.r_[few.lengths, 0][of_few], np.r_[few.at, 0][of_few]
+    for a, b, ends, at in spans(begin, length, PROBES_AT_ONCE):
+        hit = keys.found(np.repeat(of_many[a:b] * span, length[a:b]) + few.z[at])
+        yield np.searchsorted(ends, hit, side="right") + a, at[hit]
 
 
 def _scores(kinds: dict, weighed: bool) -> dict[str, np.ndarray]:
@@ -206,7 +179,7 @@ def _scores(kinds: dict, weighed: bool) -> dict[str, np.ndarray]:
             x.z -= low
             x.z = _narrow(x.z)
     else:  # ids too far apart for a key of one long: their ranks instead
-        ids = np.unique(np.r_[of_a.z, of_b.z])
+        ids = distinct(np.r_[of_a.z, of_b.z])
         of_a.z, of_b.z, span = np.searchsorted(ids, of_a.z), np.searchsorted(ids, of_b.z), len(ids)
     at_a, at_b = of_a.places(a), of_b.places(b)
     size_a, size_b = np.r_[of_a.lengths, 0][at_a], np.r_[of_b.lengths, 0][at_b]

@@ -6,8 +6,8 @@ import random
 import numpy as np
 import pytest
 
-from graphloom.plans import packed, similarity
-from graphloom.plans.projection import orient
+from graphloom.plans import colour_triangles, packed, similarity
+from graphloom.plans.projection import Projection, orient
 
 
 def shuffled_rows(df):
@@ -88,3 +88,37 @@ def test_neighbours_that_are_looked_up_are_no_rows(spark):
     frame = spark.createDataFrame([(a, b) for a in range(30) for b in range(30, 60)], "a long, b long")
     for score in (similarity.adamic_adar, similarity.jaccard):
         assert shuffled_rows(score(frame, graph)) < 5000  # 36,000 neighbours are looked up
+
+
+def brute_force(pairs, vertices):
+    """Triangles of each vertex."""
+    near, found = {}, dict.fromkeys(vertices, 0)
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    for a, b in pairs:
+        for c in near[a] & near[b]:
+            found[c] += 1
+    return found
+
+
+def random_pairs(seed, ids):
+    rng = random.Random(seed)
+    return sorted({tuple(sorted(rng.sample(ids, 2))) for _ in range(len(ids) * 7)} | {(ids[0], v) for v in ids[1:]})
+
+
+@pytest.mark.parametrize("far", [False, True])
+def test_packed_triangles_by_colours(spark, monkeypatch, far):
+    monkeypatch.setattr(colour_triangles, "PROBES_AT_ONCE", 50)
+    monkeypatch.setattr(colour_triangles, "VERTICES_PER_TASK", 100)
+    ids = [v * (10**15 if far else 1) - 2**60 for v in range(60)]  # numbered by searching, or by bits
+    pairs = random_pairs(2, ids)
+    graph = Projection(spark.createDataFrame([(v,) for v in [*ids, 5]], "id long"), orient(spark.createDataFrame(pairs, "src long, dst long"), "undirected"))
+    got = colour_triangles.triangle_count(graph, per_task=100)
+    assert {r.id: r.triangles for r in got.collect()} == brute_force(pairs, [*ids, 5])
+
+
+def test_edges_go_packed_to_their_tasks(spark):
+    ids = list(range(60))
+    edges = orient(spark.createDataFrame(random_pairs(3, ids), "src long, dst long"), "undirected")
+    assert shuffled_rows(colour_triangles.triangle_count(Projection(spark.range(60), edges), colours=5)) < 5 * edges.count() / 2
