@@ -176,7 +176,7 @@ def has_type_query(spark, d):
 
 
 def _order_paths(spark, d):
-    """customer -placed-> order -contains-> part, as path values."""
+    """customer -placed-> order -contains-> part: the matches, and their paths as an expression."""
     g = order_graph(spark, d)
     customers, orders, parts = g.nodes("customer"), g.nodes("order"), g.nodes("part")
     placed, contains = g.rels("placed"), g.rels("contains")
@@ -184,7 +184,7 @@ def _order_paths(spark, d):
     c, o, p = (node_value(a, n.schema) for a, n in (("c", customers), ("o", orders), ("p", parts)))
     r1 = rel_value("r1", placed.schema, F.col("c.element_id"), F.col("o.element_id"))
     r2 = rel_value("r2", contains.schema, F.col("o.element_id"), F.col("p.element_id"))
-    return pattern.select(paths.path_value(c, [(r1, o), (r2, p)]).alias("path"))
+    return pattern, paths.path_value(c, [(r1, o), (r2, p)])
 
 
 @query(
@@ -195,15 +195,15 @@ def _order_paths(spark, d):
        JOIN part ON l_partkey = p_partkey""",
 )
 def path_accessors(spark, d):
-    p = F.col("path")
-    types = F.transform(paths.path_relationships(p), lambda r: r["rel_type"])
-    return _order_paths(spark, d).select(
+    pattern, p = _order_paths(spark, d)
+    nodes = paths.path_nodes(p, "element_id")
+    return pattern.select(
         paths.path_start(p)["element_id"].alias("start_id"),
-        paths.path_end(p)["element_id"].alias("end_id"),
-        paths.path_nodes(p)[1]["element_id"].alias("middle_id"),
-        F.size(paths.path_nodes(p)).alias("n_nodes"),
-        F.array_join(types, ",").alias("rel_types"),
-        F.size(p["segments"]).alias("n_segments"),
+        paths.path_end(p, "element_id").alias("end_id"),
+        nodes[1].alias("middle_id"),
+        F.size(nodes).alias("n_nodes"),
+        F.array_join(paths.path_relationships(p, "rel_type"), ",").alias("rel_types"),
+        paths.path_length(p).alias("n_segments"),
     )
 
 

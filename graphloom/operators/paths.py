@@ -29,16 +29,33 @@ def path_start(path: Column) -> Column:
     return path["start"]
 
 
-def path_end(path: Column) -> Column:
-    return F.coalesce(F.try_element_at(path["segments"], F.lit(-1))["end"], path["start"])
+def path_end(path: Column, field: str | None = None) -> Column:
+    """The last node, or one field of it.
+
+    With ``field``, here as in the accessors below, only that field of each node is taken. Of a path that is an
+    expression, not a column that was made before, the optimizer then drops whatever else its nodes are built from.
+    """
+    if field is None:
+        return F.coalesce(F.try_element_at(path["segments"], F.lit(-1))["end"], path["start"])
+    ends = path["segments"]["end"][field]
+    return F.when(F.size(ends) > 0, F.try_element_at(ends, F.lit(-1))).otherwise(path["start"][field])
+
+
+def path_nodes(path: Column, field: str | None = None) -> Column:
+    if field is None:
+        return F.concat(F.array(path["start"]), F.transform(path["segments"], lambda s: s["end"]))
+    return F.concat(F.array(path["start"][field]), path["segments"]["end"][field])
 
 
-def path_nodes(path: Column) -> Column:
-    return F.concat(F.array(path["start"]), F.transform(path["segments"], lambda s: s["end"]))
+def path_relationships(path: Column, field: str | None = None) -> Column:
+    if field is None:
+        return F.transform(path["segments"], lambda s: s["relationship"])
+    return path["segments"]["relationship"][field]
 
 
-def path_relationships(path: Column) -> Column:
-    return F.transform(path["segments"], lambda s: s["relationship"])
+def path_length(path: Column) -> Column:
+    """The number of segments, counted by what costs nothing to build."""
+    return F.size(path["segments"]["relationship"]["rel_type"])
 
 
 def path_contains_node(path: Column, node: Column) -> Column:

@@ -1,11 +1,13 @@
 """Patterns, paths, result shapes, writes, parameters and streams."""
 
 import datetime as dt
+import re
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
+from graphloom.catalog import QUERIES
 from graphloom.functions import collections as coll
 from graphloom.functions import records, scalars
 from graphloom.functions.cells import column_of
@@ -246,3 +248,25 @@ def test_stream_decode_equals_batch(spark, folder):
     batch = decode(spark.read.parquet(f"{folder}/events.parquet"), shape, ["event_id"])
     landed = spark.read.parquet(path)
     assert landed.exceptAll(batch).count() == 0 and landed.count() == batch.count()
+
+
+def test_fields_of_paths(spark):
+    node = lambda i: F.struct(F.lit(i).alias("element_id"), F.lit(i).cast("string").alias("name"))
+    rel = lambda i: F.struct(F.lit(i).alias("element_id"), F.lit(i).alias("rel_type"))
+    two = paths.path_value(node("a"), [(rel("r"), node("b")), (rel("s"), node(None))])
+    part = paths.path_value(node("a"), [(rel("r"), node("b")), (rel(None), node("c"))], optional=True)
+    none = paths.path_value(node("a"), [(rel(None), node("b"))], optional=True)
+    for path, whole in ((two, ["a", "b", None]), (part, ["a", "b"]), (none, ["a"])):
+        row = spark.range(1).select(
+            paths.path_nodes(path, "name").alias("nodes"), paths.path_end(path, "name").alias("end"),
+            paths.path_relationships(path, "rel_type").alias("types"), paths.path_length(path).alias("n"),
+            paths.path_nodes(path).alias("all"), paths.path_end(path)["name"].alias("last"),
+        ).first()
+        assert row.nodes == whole == [x.name for x in row["all"]] and row.end == whole[-1] == row["last"]
+        assert row.types == ["r", "s"][: len(whole) - 1] and row.n == len(whole) - 1
+
+
+def test_path_accessors_read_keys_alone(spark, folder):
+    plan = QUERIES["path_accessors"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    read = {c.split(":")[0] for schema in re.findall(r"ReadSchema: struct<(\S*)>", plan) for c in schema.split(",")}
+    assert read == {"c_custkey", "o_orderkey", "o_custkey", "l_orderkey", "l_partkey", "p_partkey"}
