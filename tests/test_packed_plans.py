@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from graphloom.plans import colour_triangles, packed, similarity
+from graphloom.plans import colour_triangles, packed, similarity, triangles
 from graphloom.plans.projection import Projection, orient
 
 
@@ -122,3 +122,18 @@ def test_edges_go_packed_to_their_tasks(spark):
     ids = list(range(60))
     edges = orient(spark.createDataFrame(random_pairs(3, ids), "src long, dst long"), "undirected")
     assert shuffled_rows(colour_triangles.triangle_count(Projection(spark.range(60), edges), colours=5)) < 5 * edges.count() / 2
+
+
+def test_triangles_and_clustering_move_packed_edges(spark, monkeypatch):
+    monkeypatch.setattr(colour_triangles, "VERTICES_PER_TASK", 100)
+    ids = list(range(60))
+    pairs = random_pairs(4, ids)
+    graph = Projection(spark.range(62), orient(spark.createDataFrame(pairs, "src long, dst long"), "undirected"))
+    expected = brute_force(pairs, range(62))
+    degree = {v: sum(v in p for p in pairs) for v in range(62)}
+    got = triangles.local_clustering(graph)
+    assert {r.id: (r.triangles, r.degree) for r in got.collect()} == {v: (expected[v], degree[v]) for v in range(62)}
+    assert got.where("coefficient < 0 OR coefficient > 1 OR (degree < 2 AND coefficient <> 0)").isEmpty()
+    assert triangles.global_triangles(triangles.triangle_count(graph)).first().triangles == sum(expected.values()) // 3
+    # vertices and their counts are rows, edges are not: less than a row for each
+    assert shuffled_rows(triangles.triangle_count(graph)) < len(pairs)
